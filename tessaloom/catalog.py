@@ -5,11 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tessaloom.operators import canonical, split
+from tessaloom.session import spread, table
+
+
+def p4_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every free-typed Country with the entry meant, how it was found and how similar it is."""
+    names = table(spark, sf_dir, "country_reference").select("name", F.col("iso3").alias("entry"))
+    others = table(spark, sf_dir, "country_aliases").select(F.col("alias").alias("name"), F.col("iso3").alias("entry"))
+    codes = names.select(F.col("entry").alias("name"), "entry")
+    return canonical.canonical_rows(table(spark, sf_dir, "lawsec_v1_18i_cluster_cleaned"), "row_idx", "Country", names, others, codes)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_mapped(spark, sf_dir).select("row_idx", F.col("entry").alias("iso3"))
+
+
+def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every chunk over the limit of its profile."""
+    chunks = spread(table(spark, sf_dir, "lawsec_v1_18i_chunked").select("chunk_id", "Text_cleaned_ngram", "split_profile"))
+    limited = chunks.join(table(spark, sf_dir, "chunk_profiles"), "split_profile")
+    return split.split_oversized(limited, "chunk_id", "Text_cleaned_ngram", "max_chars", "overlap_chars")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_pieces(spark, sf_dir).where("piece_no = 0").select("chunk_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in (p4_found, p4_mapped, p6_found, p6_pieces)}
+
+
+P6_FOUND = """
+SELECT chunk_id FROM lawsec_v1_18i_chunked JOIN chunk_profiles USING (split_profile) WHERE length(Text_cleaned_ngram) > max_chars
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p6_found": P6_FOUND}

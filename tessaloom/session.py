@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a side may be broadcast when its rows are short (below 100 bytes: some 20 MB at most).
-BROADCAST_ROWS = 200_000
+#: Rows and bytes up to which a computed side may be broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 16_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,13 +38,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A computed side of a join, hinted for broadcast only if its counted rows stay under the bound.
+def small_side(df: DataFrame) -> DataFrame:
+    """A computed side of a join, hinted for broadcast only if its counted rows and bytes stay under the bounds.
 
-    Beyond the bound it is returned without a hint and Spark joins by shuffling.
+    Beyond them it is returned without a hint and Spark joins by shuffling, where
+    adaptive execution splits hot keys.
     """
     kept = durable(df)
-    return F.broadcast(kept) if kept.limit(most + 1).count() <= most else kept
+    width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in kept.columns), F.lit(0))
+    rows, size = kept.select(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    return F.broadcast(kept) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else kept
 
 
 def blank(c: Column | str) -> Column:
