@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaloom.llm import encoding, look, site_lines
+from tessaloom.llm import encoding, look, prose, site_lines
 from tessaloom import session
 
 
@@ -27,6 +27,15 @@ def _garbled_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.garbled_rows(table(spark, sf_dir, CLEANED), "row_idx", "Country", _names(spark, sf_dir))
 
 
+def p1_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of every text and whether the rules take it for prose."""
+    return prose.figures(table(spark, sf_dir, GATE).select("row_idx", "Text")).withColumn("is_prose", prose.is_prose()).drop("Text")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prose.not_prose(table(spark, sf_dir, GATE))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = encoding.garbled_rows(table(spark, sf_dir, GATE), "row_idx", "Text")
     return texts.select(F.lit(GATE).alias("table_name"), "row_idx").unionByName(_garbled_countries(spark, sf_dir).select(F.lit(CLEANED).alias("table_name"), "row_idx"))
@@ -56,7 +65,7 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_restored, p5_found, p5_kept, p7_found, p7_forms)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p5_found, p5_kept, p7_found, p7_forms)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"
