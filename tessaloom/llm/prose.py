@@ -90,7 +90,8 @@ def figures(df: DataFrame, text: str = "Text") -> DataFrame:
         "odd_share": of(lambda x: x["mark"] | x["table"] | x["odd"] | x["bare"] | (x["s"] < LOW)),
         "bare_share": of(lambda x: x["bare"]),
     }
-    return rows.withColumns({name: F.when(t.isNotNull(), c.cast("double")) for name, c in made.items()}).drop("_lines", "_near")
+    # as one generated row: a later filter on a figure isn't pushed down, which would copy the whole expression into it
+    return rows.select(*df.columns, F.inline_outer(F.array(F.struct(*(F.when(t.isNotNull(), c.cast("double")).alias(name) for name, c in made.items())))))
 
 
 def rules() -> list[dict]:

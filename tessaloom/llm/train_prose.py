@@ -1,4 +1,4 @@
-"""python -m tessaloom.llm.train_prose SF_DIR: induce prose_rules.json from the labelled rows of the table of 800 rows."""
+"""python -m tessaloom.llm.train_prose SF_DIR: induce prose_rules.json from labelled rows of gate_mwe at scale 0.1."""
 
 from __future__ import annotations
 
@@ -8,19 +8,24 @@ from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessaloom.llm import prose, rules
 
-# The rows of gate_mwe at scale 0.01 that were read and labelled as lists, tables or junk; the others with text are speeches.
+# Rows that were read and labelled as lists, tables or junk. Of the first 800 rows the others with text are speeches;
+# of the rows beyond, chosen because they are near the border, those of ALSO_PROSE are.
+FIRST = 800
+ALSO_PROSE = (843, 6269, 7768, 7883)
 NOT_PROSE = (
     14, 24, 66, 116, 119, 127, 129, 156, 161, 184, 186, 203, 213, 220, 232, 237, 251, 269, 289, 319, 328, 344, 351, 372, 384, 386, 463, 469, 477, 489,
     502, 506, 516, 545, 556, 566, 575, 581, 587, 615, 624, 629, 643, 647, 651, 662, 667, 668, 672, 683, 684, 696, 703, 714, 732, 739, 750, 772, 798,
+    1791, 3307, 4017, 4891, 5218, 5314, 6145, 6894,
 )
 
 
 def train(table: DataFrame) -> list[dict]:
     """Rules from at most rules.MOST_ROWS labelled rows."""
-    rows = prose.figures(table.where("trim(Text) <> ''").orderBy("row_idx").limit(rules.MOST_ROWS)).select("row_idx", *prose.FIGURES).toPandas()
+    rows = prose.figures(table.where("trim(Text) <> ''").where(F.col("row_idx").between(1, FIRST) | F.col("row_idx").isin(*NOT_PROSE, *ALSO_PROSE)).orderBy("row_idx").limit(rules.MOST_ROWS)).select("row_idx", *prose.FIGURES).toPandas()
     x, y = rows[list(prose.FIGURES)].to_numpy(float), rows["row_idx"].isin(NOT_PROSE).to_numpy()
     return [{"if": [[prose.FIGURES[f], sign, round(threshold, 4)] for f, sign, threshold in rule], "prose": False} for rule in rules.induce(x, y)]
 
