@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaloom.llm import encoding, look, prose, site_lines
+from tessaloom.llm import encoding, look, prose, scans, site_lines
 from tessaloom import session
 
 
@@ -47,6 +47,20 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.withColumn("table_name", F.lit(GATE)).unionByName(countries.withColumn("table_name", F.lit(CLEANED)))
 
 
+def _speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and text of the rows that p1_found doesn't have."""
+    rows = table(spark, sf_dir, GATE).select("row_idx", "Text").where(F.col("Text").rlike(r"(?U)[^\s\x1c-\x1f]"))
+    return prose.figures(rows).where(prose.is_prose()).select("row_idx", "Text")
+
+
+def p3_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.noisy_rows(_speeches(spark, sf_dir))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p3_noise(spark, sf_dir).select("row_idx")
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.occurrences(table(spark, sf_dir, GATE))
 
@@ -65,7 +79,7 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p5_found, p5_kept, p7_found, p7_forms)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"
