@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaloom.llm import encoding, look, prose, scans, site_lines
+from tessaloom.llm import encoding, look, prose, residue, scans, site_lines
 from tessaloom import session
 
 
@@ -78,8 +78,21 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look.in_one_form(table(spark, sf_dir, CLEANED).select("row_idx", "Country"), "Country")
 
 
+def p10_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kinds = residue.residue_rows(table(spark, sf_dir, "documents"))
+    return kinds.select("doc_id", F.array_join("kinds", ",").alias("kinds"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_residue(spark, sf_dir).select("doc_id")
+
+
+def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.without_residue(table(spark, sf_dir, "documents")).select("doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms, p10_found, p10_residue, p10_kept)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"
