@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaloom.llm import encoding, look, prose, residue, scans, site_lines
+from tessaloom.llm import encoding, look, mixing, packing, prose, residue, scans, site_lines, tokens
 from tessaloom import session
 
 
@@ -78,6 +78,31 @@ def p7_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return look.in_one_form(table(spark, sf_dir, CLEANED).select("row_idx", "Country"), "Country")
 
 
+def p8_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in containers of every kind."""
+    sizes = tokens.sized(table(spark, sf_dir, "documents"), ["doc_id"])
+    return packing.pack_all(spark, sizes, "doc_id", session.table(spark, sf_dir, "pack_containers"))
+
+
+def p8_room(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    capacities = session.table(spark, sf_dir, "pack_containers")
+    filled = p8_packed(spark, sf_dir).where("container_no IS NOT NULL").groupBy("container", "container_no").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("pieces"))
+    return filled.join(capacities, "container").groupBy("container", "capacity_tokens").agg(F.count(F.lit(1)).alias("containers"), F.max("tokens").alias("fullest"), (F.sum("tokens") / (F.count(F.lit(1)) * F.col("capacity_tokens"))).alias("filled"))
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.sized(table(spark, sf_dir, "documents"), ["doc_id", "source"])
+
+
+def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_sources(spark, sf_dir), "doc_id", session.table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(p9_mixed(spark, sf_dir), session.table(spark, sf_dir, "mix_targets"))
+
+
 def p10_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = residue.residue_rows(table(spark, sf_dir, "documents"))
     return kinds.select("doc_id", F.array_join("kinds", ",").alias("kinds"))
@@ -92,7 +117,7 @@ def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms, p10_found, p10_residue, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"
