@@ -30,6 +30,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, DOCUMENTS).select("doc_id", "text"))
 
 
+def _injected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with what gives every rule work put around their texts."""
+    t = F.col("text")
+    made = F.when(F.col("doc_id") % 12 == 0, F.replace(t, F.lit(".\n"), F.lit(".\n\n")))
+    for r, (before, after) in oracle.AROUND.items():
+        made = made.when(F.col("doc_id") % 12 == r, F.concat(F.lit(before), t, F.lit(after)))
+    return _documents(spark, sf_dir).select("doc_id", made.otherwise(t).alias("text"))
+
+
 def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, GATE))
 
@@ -118,8 +127,8 @@ def _mended(step: Callable[[Column], Column]) -> Query:
 QUERIES |= {
     "ocr_nfc": _mended(repair.nfc), "ocr_control": _mended(repair.without_controls), "ocr_mojibake": _mended(repair.ungarbled), "ocr_symbols": _mended(repair.signs_mended),
     "ocr_digits": _mended(repair.digits_mended), "ocr_repeat": _mended(repair.runs_collapsed), "ocr_camel": _mended(repair.words_parted),
-    "whitespace_norm": lambda spark, sf_dir: _documents(spark, sf_dir).select("doc_id", text.collapse(F.col("text")).alias("tidy")),
-    "paragraph_filter": lambda spark, sf_dir: _documents(spark, sf_dir).select("doc_id", text.long_paragraphs(F.col("text"), 150).alias("kept")),
+    "whitespace_norm": lambda spark, sf_dir: _injected(spark, sf_dir).select("doc_id", text.collapse(F.col("text")).alias("tidy")),
+    "paragraph_filter": lambda spark, sf_dir: _injected(spark, sf_dir).select("doc_id", text.long_paragraphs(F.col("text"), 150).alias("kept")),
 }
 
 
@@ -131,7 +140,7 @@ def ocr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def phrase_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = clean.without_phrases(F.col("text"), oracle.PHRASES)
-    rows = _documents(spark, sf_dir).select("doc_id", removed.alias("r"))
+    rows = _injected(spark, sf_dir).select("doc_id", removed.alias("r"))
     count = lambda k: F.coalesce(F.element_at("r.n", F.lit(k)), F.lit(0)).alias(k)
     return rows.select("doc_id", F.col("r.x").alias("kept"), *(count(k) for k in oracle.PHRASES))
 
@@ -139,7 +148,7 @@ def phrase_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _rules(category: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         done = clean.without_matches(F.col("text"), RULES_BY_CATEGORY[category])
-        rows = _documents(spark, sf_dir).select("doc_id", done.alias("r"))
+        rows = _injected(spark, sf_dir).select("doc_id", done.alias("r"))
         return rows.select("doc_id", F.col("r.x").alias("kept"), F.aggregate("r.counts", F.lit(0), lambda a, x: a + x).alias("matches"))
 
     return run
@@ -152,7 +161,7 @@ BASE = clean.Options(repair=False, use_phrases=False)
 @query
 def clean_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules, white space and paragraphs, without repair and phrases."""
-    return clean.cleaned(_documents(spark, sf_dir), "text", BASE).select("doc_id", "cleaned", "original_length", "cleaned_length")
+    return clean.cleaned(_injected(spark, sf_dir), "text", BASE).select("doc_id", "cleaned", "original_length", "cleaned_length")
 
 
 @query
@@ -179,7 +188,7 @@ def corpus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reduced(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.cleaned(_documents(spark, sf_dir), "text", BASE)
+    return clean.cleaned(_injected(spark, sf_dir), "text", BASE)
 
 
 @query

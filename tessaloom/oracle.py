@@ -13,10 +13,28 @@ PHRASES = {"formatting": ["- - - -"], "administrative": ["the budget outline", "
 WHITE = r"[\s\x0b\x1c-\x1f\x85\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+# What is put before and after the text of documents, by the remainder of doc_id / 12, so that every rule has work to do.
+AROUND = {
+    1: ("The President: welcome to the meeting.\n", ""),
+    2: ("Mr. Smith (France):\n", ""),
+    3: ("", " . . . . . . and 1 2 3 4 5 a b c d e f end and, and, and, and, – – – – – so - - - - -"),
+    4: ("", " (A/70/L.1) [A/C.1/69/PV.13] (see para. 4 above) (spoke in French) (see annex II) [a document of today] (paras. 4 and 5) A/RES70/1"),
+    5: ("official records of the general assembly, thirty-first session and report of the secretary-general on the work of the organization agreed with the budget outline ", " department of this Committee - - - -"),
+    6: ("", " Pr~fessor f*om c0ntent rea1ly adress6e"),
+    7: ("", " espÃ©rons dâ€™un \ufffd\x01 end"),
+    8: ("", " ééééé reportOfficer wordsJoined"),
+    9: ("", "   \n \n \n more   text\n\n\n\nand a paragraph of more than fifty characters after many line feeds"),
+    10: ("", " expenditure appropriation adjustments as at 3 may 2001 (thousands of united states dollars) status: in progress priority: high target date: third quarter and agreed with the board's recommendation that it goes. *** stars ***"),
+}
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+INJECTED = "SELECT doc_id, CASE doc_id % 12 WHEN 0 THEN replace(text, '.' || chr(10), '.' || chr(10) || chr(10)) " + " ".join(f"WHEN {r} THEN {q(a)} || text || {q(b)}" for r, (a, b) in AROUND.items()) + " ELSE text END AS text FROM documents"
+
+
 def strip(x: str) -> str:
     return f"regexp_replace({x}, '^{WHITE}+|{WHITE}+$', '', 'g')"
 
@@ -72,7 +90,7 @@ def rule(pattern: str) -> tuple[str, str]:
     return "(?ims)" + body.replace(r"\/", "/"), by
 
 
-def stages(category: str | None, table: str = "documents", key: str = "doc_id", column: str = "text") -> tuple[str, int]:
+def stages(category: str | None, table: str = f"({INJECTED})", key: str = "doc_id", column: str = "text") -> tuple[str, int]:
     """WITH stages s0..sn that run the rules in order; t is the text, m the matches so far."""
     rules = [p for c, on, patterns in DEFAULT_RULES if on and category in (None, c) for p in patterns]
     ctes = [f"s0 AS MATERIALIZED (SELECT {key}, {column} AS t, 0 AS m FROM {table})"]
@@ -82,7 +100,7 @@ def stages(category: str | None, table: str = "documents", key: str = "doc_id",
     return "WITH " + ",\n".join(ctes), len(rules)
 
 
-def base(select: str, table: str = "documents", key: str = "doc_id", column: str = "text") -> str:
+def base(select: str, table: str = f"({INJECTED})", key: str = "doc_id", column: str = "text") -> str:
     """`select` over d(key, before, after, kept, reduction) of cleaning by rules only."""
     with_, n = stages(None, f"(SELECT {key}, coalesce({column}, '') AS {column} FROM {table})", key, column)
     return f"""{with_},
@@ -110,8 +128,8 @@ def oracle_sql() -> dict[str, str]:
         "ocr_mojibake": f"SELECT row_idx, {garbled('Text')} AS mended FROM gate_mwe",
         "ocr_digits": f"SELECT row_idx, {digits('Text')} AS mended FROM gate_mwe",
         "ocr_camel": r"SELECT row_idx, regexp_replace(regexp_replace(Text, '([a-z]{3})([A-Z][a-z]{2})', '\1 \2', 'g'), '([a-z]{3})([A-Z][a-z]{2})', '\1 \2', 'g') AS mended FROM gate_mwe",
-        "whitespace_norm": f"SELECT doc_id, {collapse('text')} AS tidy FROM documents",
-        "paragraph_filter": f"SELECT doc_id, {paragraphs('text', 150)} AS kept FROM documents",
+        "whitespace_norm": f"SELECT doc_id, {collapse('text')} AS tidy FROM ({INJECTED})",
+        "paragraph_filter": f"SELECT doc_id, {paragraphs('text', 150)} AS kept FROM ({INJECTED})",
         "bloc_map": "WITH m AS (UNPIVOT (SELECT row_idx, Country, BLOC_HarbourCompact AS HarbourCompact, BLOC_SouthernIsles AS SouthernIsles, BLOC_LandlockedGroup AS LandlockedGroup, BLOC_RiverPact AS RiverPact FROM gate_mwe) ON HarbourCompact, SouthernIsles, LandlockedGroup, RiverPact INTO NAME org VALUE v) SELECT row_idx, Country AS country, string_agg(org, ',' ORDER BY org) AS organizations FROM m WHERE v <> 0 AND NOT isnan(v) GROUP BY row_idx, Country",
         "p6_found": "SELECT chunk_id FROM lawsec_v1_18i_chunked JOIN chunk_profiles USING (split_profile) WHERE length(Text_cleaned_ngram) > max_chars",
     }
@@ -122,7 +140,7 @@ def oracle_sql() -> dict[str, str]:
             terms.append(f"(length({kept}) - length(replace({kept}, {q(p)}, ''))) // {len(p)}")
             kept = f"replace({kept}, {q(p)}, ' ')"
         counts.append(f"CAST({' + '.join(terms)} AS INTEGER) AS {category}")
-    sql["phrase_removal"] = f"SELECT doc_id, {kept} AS kept, {', '.join(counts)} FROM (SELECT doc_id, {x} FROM documents)"
+    sql["phrase_removal"] = f"SELECT doc_id, {kept} AS kept, {', '.join(counts)} FROM (SELECT doc_id, {x} FROM ({INJECTED}))"
     for category, on, _ in DEFAULT_RULES:
         if on:
             with_, n = stages(category)
