@@ -17,7 +17,8 @@ def schedules(targets: DataFrame, sources: DataFrame, tilt: float = TILT) -> Dat
 
     A source's weight at time t of 0..1 is share * (1 + slope * (2 t - 1)); its
     integral is the share. Slopes run from large sources, early, to small ones,
-    late, and are centred so that the weights add up to one at any time.
+    late, and are centred so that the weights of the sources that give
+    something add up to the same at any time.
     available counts every document max_repeats times. demand is the share of
     the mix's size; given is the lesser of the two, so a shortage of a source
     is never filled from others and shows in the shares. Sources without
@@ -27,11 +28,11 @@ def schedules(targets: DataFrame, sources: DataFrame, tilt: float = TILT) -> Dat
     rows = targets.join(sources, "source", "left").na.fill(0, ["tokens"]).crossJoin(F.broadcast(total))  # one row
     repeats = F.greatest(F.coalesce(F.col("max_repeats"), F.lit(0)), F.lit(0))
     rows = rows.withColumn("demand", F.round(F.col("budget_share") * F.col("_total") * F.col("target_share")).cast("bigint"))
-    rows = rows.withColumn("available", F.col("tokens") * repeats).withColumn("given", F.least("demand", "available")).withColumn("_late", -F.log1p(F.col("tokens").cast("double")))
-    centre = rows.groupBy("mix_name").agg(F.sum(F.col("target_share") * F.col("_late")).alias("_a"), F.sum("target_share").alias("_b"))
+    rows = rows.withColumn("available", F.col("tokens") * repeats).withColumn("given", F.least("demand", "available")).withColumn("_late", F.when(F.col("given") > 0, -F.log1p(F.col("tokens").cast("double"))))
+    centre = rows.groupBy("mix_name").agg(F.sum(F.col("target_share") * F.col("_late")).alias("_a"), F.sum(F.when(F.col("given") > 0, F.col("target_share"))).alias("_b"))
     rows = rows.join(centre, "mix_name").withColumn("_off", F.col("_late") - F.when(F.col("_b") > 0, F.col("_a") / F.col("_b")).otherwise(0.0))
     widest = rows.groupBy("mix_name").agg(F.max(F.abs("_off")).alias("_most"))
-    slope = F.when(F.col("_most") > 0, F.col("_off") / F.col("_most") * tilt).otherwise(0.0)
+    slope = F.when((F.col("_most") > 0) & F.col("_off").isNotNull(), F.col("_off") / F.col("_most") * tilt).otherwise(0.0)
     return rows.join(widest, "mix_name").select("mix_name", "source", "target_share", "max_repeats", F.col("tokens").alias("source_tokens"), "demand", "available", "given", slope.alias("slope"))
 
 

@@ -61,6 +61,10 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_noise(spark, sf_dir).select("row_idx")
 
 
+def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scans.repaired_rows(_speeches(spark, sf_dir))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.occurrences(table(spark, sf_dir, GATE))
 
@@ -117,7 +121,7 @@ def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p5_found, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p3_repaired, p5_found, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"

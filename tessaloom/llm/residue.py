@@ -33,7 +33,7 @@ MESSAGES = (
     r"\byour (?:\p{L}+ )?(?:session|visit|login)\b.{0,20}(?:expired|timed out|ended|closed)", r"\blog (?:in|on)(?: again)? to (?:continue|see|read|view)", r"\bsign in to (?:continue|see|read|view)",
     r"\byour (?:browser|network|device|address|account|connection|place in the queue)\b", r"\b(?:javascript|java script|scripts?|scripting|cookies) (?:is|are|must be) (?:switched off|turned off|disabled|off|required|blocked|enabled)", r"\b(?:turn on|switch on|enable|activate|allow|permit) (?:javascript|js|scripts?|scripting|cookies)\b", r"\b(?:needs?|requires?|must have) (?:javascript|js|scripts?|scripting|cookies)\b", r"\b(?:turn|switch|enable|allow|activate) (?:it|them)(?: on)?\b.{0,30}(?:see|read|view|browser|settings|page|try again)", r"^noscript\b",
     r"^\W*loading(?: \p{L}+)?\W*(?:please wait)?\W*$", r"\bplease wait\b", r"\btoo many (?:requests|downloads|visitors at)", r"\btime limit reached", r"\bgateway time-?out", r"\bupstream (?:failure|error)", r"did not answer in time", r"\bsomething (?:went wrong|broke)\b", r"\binternal server error", r"\bsql error\b", r"\btraceback\b[ \[(]", r"(?:exception|error) at \p{L}[\p{L}.]+ line", r"\bundefined (?:variable|offset|index|function|property)\b", r"\b(?:fatal error|warning|notice): \p{L}+ \p{L}+ .{0,40}\bon line\b", r"^\W*(?:document|page|text|record|statement|file|site) (?:is )?(?:being|under|in) (?:uploaded|processed|prepared|preparation|construction|review|maintenance)\W*$", r"\[object object\]", r"\bnginx", r"\bhttp\W{0,2}(?:status\W*|error\W*)?\p{N}{3}\b", r"\brequest id\b", r"\bserver reply\b", r"\bunder maintenance\b.{0,30}(?:later|back)",
-    r"^\W*(?:status|error|code|código|erro|erreur|code)\s*:?\s*\p{N}{3}\b", r"^\W*\p{N}{3}\s?[:–-]\s?\p{L}+ not found", r"^\W*(?:come back|check|check back|try)(?: again)? later\W*$", r"\breturn to the (?:start|home) ?page", r"^\W*use the search box\b", r"^\W*check the spelling\b", r"\bmoved to the new (?:portal|archive|site|server)\b", r"\b(?:prove|confirm|show us|verify) that you are (?:not )?a (?:human|machine|robot)", r"\b(?:preview|display) not (?:supported|available)\b", r"\bleft (?:empty|blank) (?:on purpose|by design|intentionally)\b|\bintentionally left blank\b", r"nothing lives at this address", r"^\W*if this goes on, tell the",
+    r"^\W*(?:status|error|code|código|erro|erreur|code)\s*:?\s*\p{N}{3}\b", r"^\W*\p{N}{3}\s?[:–-]\s?\p{L}+ not found", r"^\W*(?:come back|check|check back|try)(?: again)? later\W*$", r"\breturn to the (?:start|home) ?page", r"^\W*use the search box\b", r"^\W*check the spelling\b", r"\bmoved to the new (?:portal|archive|site|server)\b", r"\b(?:prove|confirm|show us|verify) that you are (?:not )?a (?:human|machine|robot)", r"\b(?:preview|display) not (?:supported|available)\b", r"\bleft (?:empty|blank) (?:on purpose|by design|intentionally)\b|\bintentionally left blank\b", r"nothing lives at this address", r"^\W*(?:document|text|page|record|statement|file|transcript) (?:is )?not yet (?:released|published|available)\b", r"^\W*no (?:text|document|content|record|preview) (?:is )?available\b", r"^\W*if this goes on, tell the",
     r"\b(?:page|fiche|notice|document|ressource)s? (?:recherché|demandé)e?s? (?:est|n)", r"\b(?:activez|activer|autorisez|autoriser|permettez|permettre) (?:javascript|les scripts|js)\b", r"\bvotre session a expiré", r"^\W*(?:reconnectez-vous|veuillez vous identifier|identifiez-vous|connectez-vous)\b", r"^\W*accès (?:réservé|refusé|interdit)\b", r"\brechargez la page\b", r"n[’']est pas encore (?:publié|disponible)e?\b", r"^\W*(?:désolé|lo sentimos|desculpe|oh dear)\W*$",
     r"\bpágina (?:solicitad|buscad)[oa]", r"\bno se (?:encontró|pudo abrir) \p{L}+ (?:página|documento|registro|archivo|texto)", r"^\W*acceso (?:denegado|restringido)\b", r"\bsu sesión ha (?:caducado|expirado)", r"^\W*(?:inicie sesión|identifíquese|vuelva a (?:conectarse|entrar))\b", r"\b(?:habilite|habilitar|active|activar|permita|permitir) (?:javascript|los scripts|js)\b",
     r"\bpágina (?:procurada|pedida) não\b", r"\b(?:a )?sua sessão (?:expirou|terminou)", r"^\W*(?:inicie a sessão|identifique-se|volte a entrar)\b", r"\b(?:ative|ativar|permita|permitir|habilite|habilitar) (?:o javascript|javascript|os scripts|js)\b", r"^\W*acesso (?:negado|restrito|reservado)\b",
@@ -42,6 +42,7 @@ MESSAGES = (
 
 # Words of which every pattern above needs one; only lines with any of them are matched against the patterns.
 TRIGGERS = """
+released published available
 http disponible design intentionally registered register subscribe js scripting undefined variable uploaded processed preparation construction review settings switch permit permitir permita activar habilitar active autorisez permettre permettez permitir ativar purposes
 line link token url active found displayed hidden exist longer denied restricted forbidden authorised authorized unauthorised unauthorized right reserved invitation session visit login log sign browser network device
 address account connection queue javascript java scripts script scripting cookies noscript loading wait many limit timeout time upstream answer wrong broke server sql traceback exception error
