@@ -34,7 +34,7 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def read_frequencies(spark: SparkSession, pattern: str) -> DataFrame:
     """(n, rank, phrase, frequency) of the n-gram reports that a path pattern names; n is the number in the file's name."""
     df = spark.read.option("header", True).option("escape", '"').schema("Rank int, Phrase string, Frequency bigint, Type string").csv(pattern)
-    return df.select(F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)grams", 1).cast("int").alias("n"), F.col("Rank").alias("rank"), F.col("Phrase").alias("phrase"), F.col("Frequency").alias("frequency")).where("n IS NOT NULL")
+    return df.select(F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)grams", 1).try_cast("int").alias("n"), F.col("Rank").alias("rank"), F.col("Phrase").alias("phrase"), F.col("Frequency").alias("frequency")).where("n IS NOT NULL")
 
 
 def schema_of(df: DataFrame) -> DataFrame:
