@@ -22,12 +22,17 @@ SENTENCE_END = r"[.!?…][\"'”’»)\]]*\s*$"
 FIGURES = ("words", "word_length", "symbol_share", "digit_share", "end_share", "common_share", "lines", "line_length", "low_share", "lower_share", "listed_share", "table_share", "odd_share", "bare_share")
 
 
+def _let(value: Column, use) -> Column:  # type: ignore[no-untyped-def]
+    """use(value) with the value computed once: inside of functions of arrays Spark shares no common expressions."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _lines(text: Column) -> Column:
     """array<struct> of the lines that have a character: its length, words, common words and looks."""
 
     def look(line: Column) -> Column:
         tokens = F.filter(F.split(F.lower(line), r"(?U)[^\p{L}\p{M}]+"), lambda w: w != "")
-        return F.struct(
+        return _let(tokens, lambda tokens: F.struct(
             F.length(line).alias("n"),
             F.size(tokens).alias("w"),
             F.size(F.filter(tokens, lambda w: w.isin(COMMON))).alias("c"),
@@ -36,7 +41,7 @@ def _lines(text: Column) -> Column:
             (line.rlike(MARK) & ~line.rlike(SENTENCE_END)).alias("mark"),
             ((F.regexp_count(line, F.lit(r"[|\t;]|\S,(?=\S)|,\s?(?=[,\p{N}-])|\s{3,}")) * 25 >= F.length(line)) | line.rlike(r"^[\s|+=_-]{6,}$|(?:\. ?){4,}\s*\p{N}{1,4}\s*$")).alias("table"),
             (F.regexp_count(line, F.lit(r"[\p{L}\p{M}]")) * 2 < F.length(line)).alias("bare"),
-        )
+        ))
 
     return F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"(?U)\S")), look)
 
