@@ -69,9 +69,11 @@ def mix(sizes: DataFrame, key: str, targets: DataFrame, tilt: float = TILT) -> D
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
     """(mix_name, source, target_share, actual_share, tokens, documents, most_repeats): what was really reached.
 
-    Sources that gave nothing come out with 0.
+    Sources that gave nothing come out with 0. Where targets are those of
+    schedules, demand is there too: the tokens a source should have given.
     """
+    more = ["demand"] if "demand" in targets.columns else []
     per = mixed.groupBy("mix_name", "source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("documents"), F.max(F.col("repeat_no") + 1).alias("most_repeats"))
-    every = targets.select("mix_name", "source", "target_share").join(per, ["mix_name", "source"], "left").na.fill(0, ["tokens", "documents", "most_repeats"])
+    every = targets.select("mix_name", "source", "target_share", *more).join(per, ["mix_name", "source"], "left").na.fill(0, ["tokens", "documents", "most_repeats"])
     whole = per.groupBy("mix_name").agg(F.sum("tokens").alias("_all"))
-    return every.join(whole, "mix_name", "left").select("mix_name", "source", "target_share", F.when(F.col("_all") > 0, F.col("tokens") / F.col("_all")).otherwise(0.0).alias("actual_share"), "tokens", "documents", "most_repeats")
+    return every.join(whole, "mix_name", "left").select("mix_name", "source", "target_share", F.when(F.col("_all") > 0, F.col("tokens") / F.col("_all")).otherwise(0.0).alias("actual_share"), *more, "tokens", "documents", "most_repeats")

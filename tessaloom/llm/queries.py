@@ -104,7 +104,9 @@ def p9_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.shares(p9_mixed(spark, sf_dir), session.table(spark, sf_dir, "mix_targets"))
+    sizes, targets = session.durable(_sources(spark, sf_dir)), session.table(spark, sf_dir, "mix_targets")
+    sources = sizes.where("tokens > 0").groupBy("source").agg(F.sum("tokens").alias("tokens"))
+    return mixing.shares(mixing.mix(sizes, "doc_id", targets), mixing.schedules(targets, sources))
 
 
 def p10_residue(spark: SparkSession, sf_dir: str) -> DataFrame:
