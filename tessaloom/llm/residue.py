@@ -16,6 +16,10 @@ from tessaloom.session import durable, small_side
 LEAST_WRAPPERS, LEAST_NAMES = 3, 3
 #: A line of a page of messages is part of its template if it stands in so many pages.
 LEAST_PAGES = 3
+#: Pages of so many segments, or words, at most are also aligned with one segment, or word, left out; of so many words at least for a word.
+MOST_SEGMENTS, MOST_WORDS, LEAST_WORDS = 8, 30, 4
+#: Words by which the beginning of a segment is known.
+OPENING = 3
 SLOT = "□"
 FRAGMENT = r"(\{[^{}\n]{1,60}\}\}?|\[\[?[^\[\]\n]{1,60}\]\]?|<<?[^<>\n]{1,60}>>?|%%[\p{L}_.]{1,40}%%|@@[\p{L}_.]{1,40}@@|\([^()\n]{1,60}\)|\bXX [\p{L} _.]{1,40} XX\b)"
 # What an unfilled field of a form holds, after its label or alone.
@@ -105,19 +109,52 @@ def slots(fragments: DataFrame) -> DataFrame:
     return named.join(wrappers, "wrapper", "left_semi").select("fragment").distinct()
 
 
-def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_pages(rows: DataFrame) -> DataFrame:
+    """(_key) of the records of (_key, _title, _text) whose whole text is a page that stands under several titles, whatever its wording.
+
+    Records are aligned by hash: the whole text with digits masked, and short
+    ones with each segment or word in turn taken for a slot. Copies of a
+    document have one title and are no template; nor is a page with a segment
+    whose first words mostly begin segments elsewhere.
+    """
+    parts = rows.select("_key", "_title", F.transform(segments(F.col("_text")), lambda x: F.regexp_replace(x, r"\p{N}+", "#")).alias("parts")).where(F.size("parts") > 0)
+    parts = parts.withColumn("words", F.split(F.array_join("parts", " "), " "))
+
+    def one_out(items: str) -> Column:
+        return F.transform(items, lambda _, i: F.xxhash64(F.lit(items), F.transform(items, lambda x, j: F.when(i == j, SLOT).otherwise(x))))
+
+    none = F.array().cast("array<bigint>")
+    by_segment = F.when(F.size("parts").between(2, MOST_SEGMENTS), one_out("parts")).otherwise(none)
+    by_word = F.when(F.size("words").between(LEAST_WORDS, MOST_WORDS), one_out("words")).otherwise(none)
+    pages = durable(parts.select("_key", F.xxhash64("_title").alias("title"), F.concat(F.array(F.xxhash64("parts")), by_segment, by_word).alias("ways"), F.array_distinct(F.transform("parts", lambda x: F.xxhash64(F.slice(F.split(x, " "), 1, OPENING)))).alias("forms")))
+    ways = pages.select("_key", "title", F.explode("ways").alias("way"))
+    templates = ways.groupBy("way").agg(F.count_distinct("_key").alias("n"), F.count_distinct("title").alias("titles")).where((F.col("n") >= LEAST_PAGES) & (F.col("titles") >= LEAST_PAGES)).select("way")
+    aligned = durable(ways.join(small_side(templates), "way", "left_semi").select("_key").distinct())
+    forms = pages.select("_key", F.explode("forms").alias("form")).distinct()
+    there = durable(forms.join(aligned, "_key", "left_semi"))
+    on_pages = small_side(there.groupBy("form").agg(F.count(F.lit(1)).alias("n")))
+    elsewhere = forms.join(on_pages, "form").groupBy("form", "n").agg(F.count(F.lit(1)).alias("everywhere")).where(F.col("n") * 2 <= F.col("everywhere")).select("form")
+    return aligned.join(there.join(small_side(elsewhere), "form", "left_semi").select("_key").distinct(), "_key", "left_anti")
+
+
+def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text", title: str = "title") -> DataFrame:
     """(key, kinds) of the records whose text holds residue: slot, field, filler, message or page (array, in order).
 
     Null and blank texts have none; repeated rows come out each (key may
-    repeat: rows of one key count as one record).
+    repeat: rows of one key count as one record). Without the title's column
+    pages are found by their wording only, as copies can't be told from templates.
     """
-    rows = df.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    titled = title in df.columns
+    rows = df.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("_key"), F.col(text).alias("_text"), *([F.col(title).alias("_title")] if titled else []))
     cut = rows.select("_key", F.explode_outer(segments(F.col("_text"))).alias("segment"))
     marked = durable(cut.select("_key", _kind(F.col("segment")).alias("kind"), F.xxhash64(F.regexp_replace("segment", r"\p{N}+", "#")).alias("form")))
     # pages of messages only, and the further lines of their templates
     pages = marked.groupBy("_key").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("kind") == "message").alias("messages"), F.collect_set("kind").alias("kinds"))
     kept = durable(pages.where(F.size("kinds") > 0))
     whole = kept.where(F.col("messages") * 2 >= F.col("lines")).select("_key")
+    if titled:
+        repeated = durable(repeated_pages(rows))
+        whole = whole.union(repeated).distinct()
     fragments = rows.where(F.col("_text").rlike(FRAGMENT)).select("_key", F.explode_outer(F.array_distinct(F.regexp_extract_all("_text", F.lit(FRAGMENT), F.lit(1)))).alias("fragment")).where(F.col("fragment").isNotNull())
     slotted = fragments.join(small_side(slots(fragments)), "fragment", "left_semi").select("_key", F.lit("slot").alias("kind"))
     on_pages = marked.where(F.col("kind").isNull()).join(small_side(whole), "_key", "left_semi").groupBy("form").agg(F.count_distinct("_key").alias("n")).where(F.col("n") >= LEAST_PAGES).select("form")
@@ -125,6 +162,8 @@ def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     sure = marked.where(F.col("kind").isNull()).join(small_side(whole), "_key", "left_semi").groupBy("form").agg(F.count_distinct("_key").alias("n")).join(templates, "form").where(F.col("n") * 2 > F.col("everywhere")).select("form")
     lines = marked.where(F.col("kind").isNull()).join(small_side(sure), "form", "left_semi").select("_key", F.lit("page").alias("kind"))
     found = kept.select("_key", F.explode("kinds").alias("kind")).unionByName(slotted).unionByName(lines)
+    if titled:
+        found = found.unionByName(repeated.select("_key", F.lit("page").alias("kind")))
     return found.groupBy(F.col("_key").alias(key)).agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
 
 

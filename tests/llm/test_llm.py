@@ -208,5 +208,17 @@ def test_residue(spark):
     assert residue.residue_rows(df.limit(0)).count() == 0
 
 
+def test_pages_of_unlisted_wording_found_by_repetition(spark):
+    page = "Beitrag {} wurde zurückgezogen.\nBitte wenden Sie sich an das Archiv."
+    rows = [(i, f"title {i}", page.format(n)) for i, n in enumerate(("Aldermark", "Valdoria", "Okavara"))]  # aligned, one word a slot
+    rows += [(3 + i, f"title {i}", f"Toimintoa ei voitu suorittaa, virhe {i}.") for i in range(3)]
+    rows += [(6, "other", PROSE + " Bitte wenden Sie sich an das Archiv.")]  # a line of the template among sentences
+    rows += [(10 + i, "one title", PROSE) for i in range(4)] + [(20 + i, f"title {i}", f"We thank the {n}") for i, n in enumerate(("members", "chair", "staff"))]  # copies, and cut sentences
+    rows += [(30 + i, "more", f"{PROSE} We thank the chair of part {i}. We thank the staff.") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, title string, text string")
+    assert ids(residue.residue_rows(df), "doc_id") == [*range(7)]
+    assert ids(residue.residue_rows(df.drop("title")), "doc_id") == []
+
+
 def test_stored_rules_are_rules():
     assert json.dumps(prose.rules()) and all(name in prose.FIGURES for rule in prose.rules() for name, _, _ in rule["if"])
