@@ -168,7 +168,7 @@ def clean_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_enhanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repair, mined phrases, rules, white space and paragraphs."""
     corpus = _gate(spark, sf_dir).select("row_idx", "Text")
-    done = clean.cleaned(corpus, "Text", clean.Options(phrases=pipeline.mined_phrases(corpus, first=4, last=5, top=100, least=15)))
+    done = clean.cleaned(corpus, "Text", clean.Options(phrases=pipeline.mined_phrases(corpus)))
     return done.select("row_idx", "cleaned", "original_length", "cleaned_length", "reduction_percent", F.to_json("fixes").alias("fixes"), F.to_json("phrases_removed").alias("phrases_removed"), F.to_json("rules_removed").alias("rules_removed"))
 
 
@@ -267,7 +267,7 @@ def chunks_per_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mining, cleaning and chunking from raw texts."""
-    return pipeline.run(_gate(spark, sf_dir), "Text", _dimension(spark, sf_dir), first=4, last=6, top=200, least=15)
+    return pipeline.run(_gate(spark, sf_dir), "Text", _dimension(spark, sf_dir), "Flag_Valid")
 
 
 @query
