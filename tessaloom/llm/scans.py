@@ -17,25 +17,26 @@ LETTER = r"[\p{L}\p{M}]"
 BROKEN = rf"(?U)({LETTER})(?:[-¬­]|Â[­¬]|┬[¡¡¬]|¬¨|�{{1,2}})[^\S\n]*\n\s*({LETTER})"
 #: Signs that stand for a letter inside a word.
 MISREAD_SIGN = r"[0-9@*~]"
-# Glyphs that scanning confuses; pairs of letters and the glyph they look like, and single glyphs with the one that stands for their group.
-PAIRS = (("rn", "m"), ("ii", "u"), ("li", "h"), ("cl", "d"), ("vv", "w"))
+# Signs with the letters they are read for, and glyphs that scanning confuses as the strokes they consist of; those of equal strokes are confused, also in pairs (rn m, ii u, li h, cl d, vv w).
 SIGNS = ("0@*~165", "oaroles")
-SINGLES = ("ftecniuhbqgijl", "ffccuuuhhggiii")
+STROKES = {"j": "i", "l": "i", "u": "ii", "n": "ii", "h": "ii", "b": "ii", "d": "ci", "e": "c", "m": "rii", "w": "vv", "t": "f", "q": "g"}
+#: Words of fewer characters are misreadings only with a sign, of a word as long that outnumbers them SHORT_OUTNUMBERED times: too many real ones (if, it; bas, has) differ in a confused glyph.
+SHORT, SHORT_OUTNUMBERED = 4, 400
 SYMBOL = r"\b\p{Lu}(?:/[\p{Lu}\p{N}.]+)+\b"
 
 
 def glyph_skeleton(word: Column) -> Column:
-    """A word with every confusable glyph replaced by the one of its group; misreadings keep their word's skeleton."""
+    """A word with every confusable glyph replaced by its strokes; misreadings keep their word's skeleton."""
     one = F.translate(word, *SIGNS)
-    for pair, glyph in PAIRS:
-        one = F.replace(one, F.lit(pair), F.lit(glyph))
-    return F.translate(one, *SINGLES)
+    for glyph, strokes in STROKES.items():
+        one = F.replace(one, F.lit(glyph), F.lit(strokes))
+    return one
 
 
 def _words(text: Column) -> Column:
     """Distinct words in lower case with signs inside; document symbols and addresses are no words."""
     plain = F.lower(F.regexp_replace(text, SYMBOL, " "))
-    return F.array_distinct(F.filter(F.split(plain, r"(?U)[^\p{L}\p{M}0-9@*~]+"), lambda w: (F.length(w) >= 4) & w.rlike(LETTER)))
+    return F.array_distinct(F.filter(F.split(plain, r"(?U)[^\p{L}\p{M}0-9@*~]+"), lambda w: (F.length(w) >= 2) & w.rlike(LETTER)))
 
 
 def _signed(word: Column) -> Column:
@@ -49,13 +50,15 @@ def misreadings(rows: DataFrame) -> DataFrame:
     Words are grouped by glyph skeleton in one aggregation: the group's most
     frequent clean form is kept with its count, not the group. A word is a
     misreading of it if it has a sign among its letters, or if it is
-    outnumbered OUTNUMBERED times.
+    outnumbered OUTNUMBERED times; short words have a rule of their own.
     """
     counted = durable(rows.groupBy("word").agg(F.count(F.lit(1)).alias("seen")).withColumn("skeleton", glyph_skeleton(F.col("word"))))
     clean = counted.where(~F.col("word").rlike(MISREAD_SIGN)).groupBy("skeleton").agg(F.max(F.struct("seen", "word")).alias("best"))
     both = counted.join(clean, "skeleton").where(F.col("word") != F.col("best.word"))
     signed = _signed(F.col("word")) & (F.col("best.seen") > F.col("seen"))
-    return both.where(signed | (F.col("best.seen") >= OUTNUMBERED * F.col("seen"))).select("word", F.col("best.word").alias("original"), signed.alias("signed"))
+    short = F.length("word") < SHORT
+    alike = (F.length("word") == F.length("best.word")) & (F.col("best.seen") >= SHORT_OUTNUMBERED * F.col("seen"))
+    return both.where(F.when(short, signed & alike).otherwise(signed | (F.col("best.seen") >= OUTNUMBERED * F.col("seen")))).select("word", F.col("best.word").alias("original"), signed.alias("signed"))
 
 
 def _header_shape(line: Column) -> Column:

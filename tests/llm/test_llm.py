@@ -86,6 +86,17 @@ def test_scanned_pages_repaired(spark):
     assert got == {30: "The committee has taken note of the report on the harbour.\n\nWe thank the members."}
 
 
+def test_confused_glyphs_have_equal_skeletons(spark):
+    alike = [("perlod", "period"), ("wlthout", "without"), ("commlttee", "committee"), ("notif1cation", "notification"), ("maiim", "maum"), ("pcriod", "period"), ("panei", "panel"), ("govemment", "government"), ("rehef", "relief"), ("dedined", "declined"), ("vvith", "with"), ("gouveruement", "gouvernement"), ("tbe", "the"), ("mect", "meet"), ("cjaim", "claim"), ("o1d", "old")]
+    apart = [("paid", "panel"), ("of", "off"), ("the", "tree")]
+    same = lambda pairs: [r["s"] for r in spark.createDataFrame(pairs, "a string, b string").select((scans.glyph_skeleton(F.col("a")) == scans.glyph_skeleton(F.col("b"))).alias("s")).collect()]
+    assert all(same(alike)) and not any(same(apart))
+    df = gate(spark, [PROSE] * 30 + [PROSE.replace("committee", "commlttee").replace("return", "retum")])
+    assert ids(scans.noisy_rows(df)) == [30]
+    many = spark.createDataFrame([(i, "the") for i in range(500)] + [(500, "tbe"), (501, "t@e"), (502, "ths")] + [(i, "las") for i in range(500)] + [(503, "l@s")], "key bigint, word string")
+    assert sorted((r["word"], r["original"]) for r in scans.misreadings(many).collect()) == [("l@s", "las")]
+
+
 def test_site_lines(spark):
     same = "Check against delivery, room 12"
     rows = [(i, i if i != 5 else 4, "A" if i < 8 else None, f"{same.replace('12', str(i))}\nown line number {chr(97 + i) * 12}\nshort") for i in range(10)] + [(10, 20, "B", same), (11, 21, "A", None), (12, 22, "A", "  CHECK  against delivery, room 9 ")]
