@@ -22,6 +22,9 @@ SIGNS = ("0@*~165", "oaroles")
 STROKES = {"j": "i", "l": "i", "u": "ii", "n": "ii", "h": "ii", "b": "ii", "d": "ci", "e": "c", "m": "rii", "w": "vv", "t": "f", "q": "g"}
 #: Words of fewer characters are misreadings only with a sign, of a word as long that outnumbers them SHORT_OUTNUMBERED times: too many real ones (if, it; bas, has) differ in a confused glyph.
 SHORT, SHORT_OUTNUMBERED = 4, 400
+#: A line is a running header if its form breaks into so many different sentences, and does so in at least this share of its places.
+LEAST_BREAKS, LEAST_BREAK_SHARE = 3, 0.25
+MOST_HEADER = 100
 SYMBOL = r"\b\p{Lu}(?:/[\p{Lu}\p{N}.]+)+\b"
 
 
@@ -64,8 +67,8 @@ def misreadings(rows: DataFrame) -> DataFrame:
 def _header_shape(line: Column) -> Column:
     """Page numbers, document symbols alone, and short lines that end or begin in a number without being a sentence.
 
-    Digits count as masked: only where they stand matters. Lines of lower-case
-    prose, times (12:30) and sentences aren't headers.
+    Only where digits stand matters. Lines of lower-case prose, times (12:30)
+    and sentences aren't headers. Others are found by repetition (running_forms).
     """
     return _let(F.regexp_replace(line, r"(?U)^\s+|\s+$", ""), _is_header)
 
@@ -84,6 +87,33 @@ def lines_of(df: DataFrame, key: str, text: str) -> Column:
     return F.transform(F.split(F.col(text), "[\n\f]"), lambda x, i: F.struct(i.alias("no"), x.alias("line"), F.when(may(x), _header_shape(x)).otherwise(False).alias("header")))
 
 
+def _form(line: Column) -> Column:
+    """Hash of a line with digits masked and white space tidied."""
+    return F.xxhash64(F.regexp_replace(F.trim(F.regexp_replace(line, r"(?U)\s+", " ")), r"\p{N}+", "#"))
+
+
+def _lines_between(text: Column) -> Column:
+    """array<struct<form, after, breaks>> of a text's lines that may be headers; after is the form of the line before, breaks tells whether the sentence before goes on behind."""
+    lines = F.filter(F.transform(F.split(text, "[\n\f]"), lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))), lambda x: x != "")
+
+    def of(all_lines: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            before, behind = F.get(all_lines, i - 1), F.get(all_lines, i + 1)
+            may = (F.length(x) >= 3) & (F.length(x) <= MOST_HEADER) & x.rlike(r"(?U)^(?:\p{Lu}|[^\p{L}\s]{0,3}\p{N})") & ~x.rlike(r"[-–—,;:.!?]$")
+            breaks = F.coalesce(~before.rlike(r"[.!?:;…][\"'”’»)]*$") & behind.rlike(r"(?U)^\p{Ll}"), F.lit(False))
+            return F.when(may, F.struct(_form(x).alias("form"), _form(before).alias("after"), breaks.alias("breaks")))
+
+        return F.filter(F.transform(all_lines, one), lambda x: x.isNotNull())
+
+    return _let(lines, of)
+
+
+def running_forms(between: DataFrame) -> DataFrame:
+    """(form) of the running headers among (form, after, breaks) rows. Copies of a text break the same sentence and count once."""
+    each = between.groupBy("form").agg(F.count(F.lit(1)).alias("n"), F.count_if("breaks").alias("broken"), F.count_distinct(F.when(F.col("breaks"), F.col("after"))).alias("sentences"))
+    return each.where((F.col("sentences") >= LEAST_BREAKS) & (F.col("broken") >= LEAST_BREAK_SHARE * F.col("n"))).select("form")
+
+
 def noisy_rows(df: DataFrame, key: str = "row_idx", text: str = "Text") -> DataFrame:
     """(key, broken, headers, misread) of the rows with any noise of scanned pages.
 
@@ -94,7 +124,11 @@ def noisy_rows(df: DataFrame, key: str = "row_idx", text: str = "Text") -> DataF
     t = F.col(text)
     rows = df.where(t.rlike(LETTER)).select(F.col(key).alias("_key"), t.alias("_text"))
     # texts are read and matched once; what is counted and joined comes from here
-    read = durable(rows.select("_key", F.regexp_count("_text", F.lit(BROKEN)).cast("bigint").alias("broken"), F.size(F.filter(lines_of(rows, "_key", "_text"), lambda x: x["header"])).cast("bigint").alias("headers"), F.col("_text").contains("\f").alias("paged"), _words(F.col("_text")).alias("words")))
+    read = durable(rows.select("_key", F.regexp_count("_text", F.lit(BROKEN)).cast("bigint").alias("broken"), F.size(F.filter(lines_of(rows, "_key", "_text"), lambda x: x["header"])).cast("bigint").alias("headers"), F.col("_text").contains("\f").alias("paged"), _words(F.col("_text")).alias("words"), _lines_between(F.col("_text")).alias("between")))
+    between = read.select("_key", F.explode("between").alias("b")).select("_key", "b.*")
+    running = between.join(small_side(running_forms(between)), "form", "left_semi").groupBy("_key").agg(F.count(F.lit(1)).cast("bigint").alias("running"))
+    # lines that are headers by their shape are most often running forms too
+    read = read.drop("between").join(running, "_key", "left").withColumn("headers", F.greatest("headers", F.coalesce("running", F.lit(0)))).drop("running")
     words = read.select("_key", F.explode_outer("words").alias("word")).where(F.col("word").isNotNull())
     wrong = small_side(misreadings(words))
     misread = words.join(wrong, "word").groupBy("_key").agg(F.count(F.lit(1)).cast("bigint").alias("misread"), F.count_if("signed").alias("signed"))
@@ -112,7 +146,10 @@ def repaired_rows(df: DataFrame, key: str = "row_idx", text: str = "Text") -> Da
     """
     noisy = small_side(noisy_rows(df, key, text).select(key))
     rows = df.join(noisy, key, "left_semi").select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    lines = rows.select("_key", F.inline_outer(lines_of(rows, "_key", "_text"))).withColumn("line", F.trim(F.regexp_replace("line", r"(?U)\s+", " ")))
+    between = df.where(F.col(text).rlike(LETTER)).select(F.inline(_lines_between(F.col(text))))
+    running = small_side(running_forms(between).withColumn("_runs", F.lit(True)))
+    lines = rows.select("_key", F.inline_outer(lines_of(rows, "_key", "_text"))).withColumn("form", _form(F.col("line"))).join(running, "form", "left")
+    lines = lines.withColumn("header", F.col("header") | F.coalesce("_runs", F.lit(False))).drop("form", "_runs").withColumn("line", F.trim(F.regexp_replace("line", r"(?U)\s+", " ")))
     order = Window.partitionBy("_key").orderBy("no")
     empty = F.col("line") == ""
     last = F.last(F.when(~F.col("header") & ~empty, F.col("line")), True).over(order.rowsBetween(Window.unboundedPreceding, -1))

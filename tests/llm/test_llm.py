@@ -86,6 +86,15 @@ def test_scanned_pages_repaired(spark):
     assert got == {30: "The committee has taken note of the report on the harbour.\n\nWe thank the members."}
 
 
+def test_running_headers_found_by_repetition(spark):
+    header = "Forum on the Harbours and Coasts of the Northern Sea and of its Islands, Second Part"
+    page = "We thank the {0}\n" + header + "\nfor the work on the {0} report."
+    copied = "The delegation of the\nNorthern Coast Harbour Authority\nhas left the room."
+    df = gate(spark, [page.format(w) for w in ("members", "chair", "staff")] + [copied] * 4 + [f"Opening of part {i}.\n{PROSE}" for i in range(4)])
+    assert ids(scans.noisy_rows(df)) == [0, 1, 2]
+    assert {r["repaired"] for r in scans.repaired_rows(df).collect()} == {f"We thank the {w} for the work on the {w} report." for w in ("members", "chair", "staff")}
+
+
 def test_confused_glyphs_have_equal_skeletons(spark):
     alike = [("perlod", "period"), ("wlthout", "without"), ("commlttee", "committee"), ("notif1cation", "notification"), ("maiim", "maum"), ("pcriod", "period"), ("panei", "panel"), ("govemment", "government"), ("rehef", "relief"), ("dedined", "declined"), ("vvith", "with"), ("gouveruement", "gouvernement"), ("tbe", "the"), ("mect", "meet"), ("cjaim", "claim"), ("o1d", "old")]
     apart = [("paid", "panel"), ("of", "off"), ("the", "tree")]
