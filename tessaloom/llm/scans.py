@@ -64,6 +64,43 @@ def misreadings(rows: DataFrame) -> DataFrame:
     return both.where(F.when(short, signed & alike).otherwise(signed | (F.col("best.seen") >= OUTNUMBERED * F.col("seen")))).select("word", F.col("best.word").alias("original"), signed.alias("signed"))
 
 
+def _neighbours(rows: DataFrame) -> DataFrame:
+    """(word, place) of every word of (_text) rows; place is the hash of the side and the skeleton of the word there, which may be misread too."""
+    plain = F.lower(F.regexp_replace("_text", SYMBOL, " "))
+    words = lambda t: F.filter(F.split(t, r"(?U)[^\p{L}\p{M}0-9@*~]+"), lambda w: w != "")
+
+    def places(both: Column) -> Column:
+        def beside(w: Column, side: str, i: Column) -> Column:
+            other = F.get(both["skeletons"], i)
+            return F.struct(w.alias("word"), F.when(other.isNotNull(), F.xxhash64(F.lit(side), other)).alias("place"))
+
+        return F.flatten(F.transform(both["words"], lambda w, i: F.array(beside(w, "before", i - 1), beside(w, "behind", i + 1))))
+
+    # strokes are letters like their glyphs, so a text's skeleton has its words in the same places
+    both = F.struct(words(plain).alias("words"), words(glyph_skeleton(plain)).alias("skeletons"))
+    return rows.select(F.inline(_let(both, places))).where(F.col("place").isNotNull())
+
+
+def in_context(rows: DataFrame, words: DataFrame, wrong: DataFrame) -> DataFrame:
+    """(word, original) of the misreadings whose surroundings support an original, from (_text), (key, word) and misreadings' rows.
+
+    All clean forms of a skeleton that outnumber the word compete: the one that
+    stands most often beside the same neighbours wins, ties go to the more
+    frequent. A word without a sign and without a supported form stays, as it
+    may be a rare word; one with a sign takes the most frequent form.
+    """
+    seen = words.groupBy("word").agg(F.count(F.lit(1)).alias("seen")).withColumn("skeleton", glyph_skeleton(F.col("word")))
+    clean = seen.where(~F.col("word").rlike(MISREAD_SIGN)).select("skeleton", F.col("word").alias("form"), F.col("seen").alias("form_seen"))
+    pairs = small_side(seen.join(wrong.select("word", "original", "signed"), "word").join(clean, "skeleton").where((F.col("form") != F.col("word")) & (F.col("form_seen") > F.col("seen"))).select("word", "original", "signed", "form", "form_seen"))
+    near = _neighbours(rows)
+    places = near.join(pairs.select("word").distinct(), "word", "left_semi").distinct()
+    asked = small_side(places.join(pairs, "word").select("word", "form", "place"))
+    support = near.withColumnRenamed("word", "form").join(asked, ["form", "place"]).groupBy("word", "form").agg(F.count(F.lit(1)).alias("support"))
+    scored = pairs.join(support, ["word", "form"], "left").na.fill(0, ["support"])
+    best = scored.groupBy("word").agg(F.first("original").alias("frequent"), F.first("signed").alias("signed"), F.max(F.struct("support", "form_seen", "form")).alias("best"))
+    return best.where((F.col("best.support") > 0) | F.col("signed")).select("word", F.when(F.col("best.support") > 0, F.col("best.form")).otherwise(F.col("frequent")).alias("original"))
+
+
 def _header_shape(line: Column) -> Column:
     """Page numbers, document symbols alone, and short lines that end or begin in a number without being a sentence.
 
@@ -166,7 +203,8 @@ def repaired_rows(df: DataFrame, key: str = "row_idx", text: str = "Text") -> Da
     flowing = paragraphs.groupBy("_key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_paragraph", "p"))), lambda x: x["p"]), "\n\n").alias("_flow"))
     # misread words, from the whole corpus, put right where they stand
     every = df.where(F.col(text).rlike(LETTER)).select(F.col(key).alias("_key"), F.explode_outer(_words(F.col(text))).alias("word")).where(F.col("word").isNotNull())
-    wrong = small_side(misreadings(every).select("word", "original"))
+    texts = df.where(F.col(text).rlike(LETTER)).select(F.col(text).alias("_text"))
+    wrong = small_side(in_context(texts, every, misreadings(every)))
     own = flowing.select("_key", F.explode_outer(_words(F.col("_flow"))).alias("word")).join(wrong, "word").groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("word", "original"))).alias("_right"))
     tokens = F.regexp_extract_all("_flow", F.lit(r"(?U)([\p{L}\p{M}0-9@*~]+|[^\p{L}\p{M}0-9@*~]+)"), F.lit(1))
 

@@ -95,6 +95,16 @@ def test_running_headers_found_by_repetition(spark):
     assert {r["repaired"] for r in scans.repaired_rows(df).collect()} == {f"We thank the {w} for the work on the {w} report." for w in ("members", "chair", "staff")}
 
 
+def test_misreadings_put_right_by_their_context(spark):
+    # beat, heat and beaf have one skeleton
+    given = ["The drums beat on through long nights."] * 60 + ["Summer heat was strong in those valleys."] * 30
+    page = "Summer he@t was strong in tho-\nse valleys."
+    rare = "A quiet beaf opens onto every sheltered co-\nast."  # beside no word that stands beside the others: a word of its own
+    df = gate(spark, [*given, page, rare])
+    got = {r["row_idx"]: r["repaired"] for r in scans.repaired_rows(df).collect()}
+    assert got == {90: "Summer heat was strong in those valleys.", 91: "A quiet beaf opens onto every sheltered coast."}
+
+
 def test_confused_glyphs_have_equal_skeletons(spark):
     alike = [("perlod", "period"), ("wlthout", "without"), ("commlttee", "committee"), ("notif1cation", "notification"), ("maiim", "maum"), ("pcriod", "period"), ("panei", "panel"), ("govemment", "government"), ("rehef", "relief"), ("dedined", "declined"), ("vvith", "with"), ("gouveruement", "gouvernement"), ("tbe", "the"), ("mect", "meet"), ("cjaim", "claim"), ("o1d", "old")]
     apart = [("paid", "panel"), ("of", "off"), ("the", "tree")]
