@@ -46,6 +46,7 @@ MESSAGES = (
 
 # Words of which every pattern above needs one; only lines with any of them are matched against the patterns.
 TRIGGERS = """
+prepared publiée turn enable allow activate see read view page again
 released published available
 http disponible design intentionally registered register subscribe js scripting undefined variable uploaded processed preparation construction review settings switch permit permitir permita activar habilitar active autorisez permettre permettez permitir ativar purposes
 line link token url active found displayed hidden exist longer denied restricted forbidden authorised authorized unauthorised unauthorized right reserved invitation session visit login log sign browser network device

@@ -238,6 +238,11 @@ def test_residue(spark):
     assert residue.residue_rows(df.limit(0)).count() == 0
 
 
+def test_messages_without_the_former_triggers(spark):
+    given = ["Document being prepared", "La fiche n’est pas encore publiée", "Turn it on and try again", "Enable them to see more", "Allow it to see the record.", "Activate it to read the page"]
+    assert ids(residue.residue_rows(spark.createDataFrame([(i, t) for i, t in enumerate([*given, PROSE])], "doc_id bigint, text string")), "doc_id") == [*range(6)]
+
+
 def test_pages_of_unlisted_wording_found_by_repetition(spark):
     page = "Beitrag {} wurde zurückgezogen.\nBitte wenden Sie sich an das Archiv."
     rows = [(i, f"title {i}", page.format(n)) for i, n in enumerate(("Aldermark", "Valdoria", "Okavara"))]  # aligned, one word a slot
