@@ -1,4 +1,9 @@
-"""Problem 10: template residue, filler text and messages of the publishing system."""
+"""Problem 10: template residue, filler text and messages of the publishing system.
+
+No wording is listed. Records are aligned with one another: fragments of a text
+as a wrapper around a name, lines of a form as a label before a value, and pages
+by the word pairs that stand on pages of one template and hardly anywhere else.
+"""
 
 from __future__ import annotations
 
@@ -9,57 +14,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessaloom.llm.prose import COMMON
+from tessaloom.llm.prose import _let
 from tessaloom.session import durable, small_side
 
 #: A name is a slot's variable if it fills the slot of so many wrappers, a wrapper is a slot's if so many names fill it.
 LEAST_WRAPPERS, LEAST_NAMES = 3, 3
-#: A line of a page of messages is part of its template if it stands in so many pages.
-LEAST_PAGES = 3
-#: Pages of so many segments, or words, at most are also aligned with one segment, or word, left out; of so many words at least for a word.
-MOST_SEGMENTS, MOST_WORDS, LEAST_WORDS = 8, 30, 4
-#: Words by which the beginning of a segment is known.
-OPENING = 3
+#: Templates of pages are learned from texts of up to so many characters. They are then found in texts of any length.
+PAGE_CHARS = 600
+#: A word pair is fixed in a template if it stands on pages of so many titles, and in at least this share of its records on such a page.
+LEAST_TITLES, LEAST_SHARE = 3, 0.5
+#: A segment of so many pairs or more is of a template if this share of them is fixed; of filler if this share of its words is.
+LEAST_PAIRS, SEGMENT_SHARE, FILLER_SHARE = 3, 0.6, 0.8
+#: A text of so many tokens or more repeats itself if blocks of so many tokens have no more than this share of different ones.
+LEAST_TOKENS, BLOCK, MOST_DIFFERENT = 12, 40, 0.55
+#: A label is one of a form if so many records leave it blank; what follows so many such labels is a default.
+LEAST_BLANKS, LEAST_LABELS = 2, 3
 SLOT = "□"
-FRAGMENT = r"(\{[^{}\n]{1,60}\}\}?|\[\[?[^\[\]\n]{1,60}\]\]?|<<?[^<>\n]{1,60}>>?|%%[\p{L}_.]{1,40}%%|@@[\p{L}_.]{1,40}@@|\([^()\n]{1,60}\)|\bXX [\p{L} _.]{1,40} XX\b)"
-# What an unfilled field of a form holds, after its label or alone.
-BLANK = r"(?U)(?:^|[\p{L}.:]\s?)(?:_{4,}|\[\s*\](?!\()|_{2,}/_{2,}/|(?<=[\p{L}:] )\.{6,}|\?{4,}|X{4,}(?![\p{L}])|TBD\b)"
-# The wording of filler text.
-FILLER = (
-    r"\b(?:body text[ ,.]*){2,}", r"\b(?:dummy|filler|blind|placeholder|sample|test|example) (?:copy|text|paragraph)\b(?:\s*[-–—]|\s*\.|.{0,40}(?:replace|remove|\p{L}+ purposes))", r"\bheading level \w+\.",
-    r"\b(?:wording|text|body) of the \p{L}+ (?:will|shall|to) (?:appear|follow|come|be added)\b", r"^(?:type|paste|write|enter|insert) your \p{L}+ (?:below|here|in this \p{L}+)", r"\blorem ipsum\b",
-    r"\b(?:texte|paragraphe) d[’']exemple\b", r"\baquí (?:se escribe|va|irá) el texto\b", r"\b(?:texto|parágrafo|párrafo) de (?:ejemplo|exemplo|relleno)\b", r"\b(?:o texto|texto) d\p{L}+ \p{L}+ (?:aparece|vem|entra) aqui\b", r"\baqui (?:se escreve|vai|entra) o texto\b",
-)
-# The wording of messages and notices that publishing systems show.
-MESSAGES = (
-    r"(?:page|file|record|document|article|statement|transcript|resource|speech|text)s? (?:\p{L}+ ){0,4}?(?:not found|could not be found|does not exist\W*$|cannot be displayed|stays hidden|(?:is|are) no longer (?:here|available))", r"^\W*(?:\p{L}+ )?not found\W*$",
-    r"^\W*access (?:is |was )?(?:denied|restricted|forbidden)\W*$", r"^\W*(?:forbidden area|forbidden|not authori[sz]ed|unauthori[sz]ed|restricted area)\W*$", r"no right to open", r"\b(?:reserved for|limited to|only for|open only to|for) registered \p{L}+\W*$", r"^\W*(?:register|subscribe|sign up) to (?:continue|see|read|view)", r"\b(?:link|invitation|token|address|url) you (?:followed|used|entered)\b",
-    r"\byour (?:\p{L}+ )?(?:session|visit|login)\b.{0,20}(?:expired|timed out|ended|closed)", r"\blog (?:in|on)(?: again)? to (?:continue|see|read|view)", r"\bsign in to (?:continue|see|read|view)",
-    r"\byour (?:browser|network|device|address|account|connection|place in the queue)\b", r"\b(?:javascript|java script|scripts?|scripting|cookies) (?:is|are|must be) (?:switched off|turned off|disabled|off|required|blocked|enabled)", r"\b(?:turn on|switch on|enable|activate|allow|permit) (?:javascript|js|scripts?|scripting|cookies)\b", r"\b(?:needs?|requires?|must have) (?:javascript|js|scripts?|scripting|cookies)\b", r"\b(?:turn|switch|enable|allow|activate) (?:it|them)(?: on)?\b.{0,30}(?:see|read|view|browser|settings|page|try again)", r"^noscript\b",
-    r"^\W*loading(?: \p{L}+)?\W*(?:please wait)?\W*$", r"\bplease wait\b", r"\btoo many (?:requests|downloads|visitors at)", r"\btime limit reached", r"\bgateway time-?out", r"\bupstream (?:failure|error)", r"did not answer in time", r"\bsomething (?:went wrong|broke)\b", r"\binternal server error", r"\bsql error\b", r"\btraceback\b[ \[(]", r"(?:exception|error) at \p{L}[\p{L}.]+ line", r"\bundefined (?:variable|offset|index|function|property)\b", r"\b(?:fatal error|warning|notice): \p{L}+ \p{L}+ .{0,40}\bon line\b", r"^\W*(?:document|page|text|record|statement|file|site) (?:is )?(?:being|under|in) (?:uploaded|processed|prepared|preparation|construction|review|maintenance)\W*$", r"\[object object\]", r"\bnginx", r"\bhttp\W{0,2}(?:status\W*|error\W*)?\p{N}{3}\b", r"\brequest id\b", r"\bserver reply\b", r"\bunder maintenance\b.{0,30}(?:later|back)",
-    r"^\W*(?:status|error|code|código|erro|erreur|code)\s*:?\s*\p{N}{3}\b", r"^\W*\p{N}{3}\s?[:–-]\s?\p{L}+ not found", r"^\W*(?:come back|check|check back|try)(?: again)? later\W*$", r"\breturn to the (?:start|home) ?page", r"^\W*use the search box\b", r"^\W*check the spelling\b", r"\bmoved to the new (?:portal|archive|site|server)\b", r"\b(?:prove|confirm|show us|verify) that you are (?:not )?a (?:human|machine|robot)", r"\b(?:preview|display) not (?:supported|available)\b", r"\bleft (?:empty|blank) (?:on purpose|by design|intentionally)\b|\bintentionally left blank\b", r"nothing lives at this address", r"^\W*(?:document|text|page|record|statement|file|transcript) (?:is )?not yet (?:released|published|available)\b", r"^\W*no (?:text|document|content|record|preview) (?:is )?available\b", r"^\W*if this goes on, tell the",
-    r"\b(?:page|fiche|notice|document|ressource)s? (?:recherché|demandé)e?s? (?:est|n)", r"\b(?:activez|activer|autorisez|autoriser|permettez|permettre) (?:javascript|les scripts|js)\b", r"\bvotre session a expiré", r"^\W*(?:reconnectez-vous|veuillez vous identifier|identifiez-vous|connectez-vous)\b", r"^\W*accès (?:réservé|refusé|interdit)\b", r"\brechargez la page\b", r"n[’']est pas encore (?:publié|disponible)e?\b", r"^\W*(?:désolé|lo sentimos|desculpe|oh dear)\W*$",
-    r"\bpágina (?:solicitad|buscad)[oa]", r"\bno se (?:encontró|pudo abrir) \p{L}+ (?:página|documento|registro|archivo|texto)", r"^\W*acceso (?:denegado|restringido)\b", r"\bsu sesión ha (?:caducado|expirado)", r"^\W*(?:inicie sesión|identifíquese|vuelva a (?:conectarse|entrar))\b", r"\b(?:habilite|habilitar|active|activar|permita|permitir) (?:javascript|los scripts|js)\b",
-    r"\bpágina (?:procurada|pedida) não\b", r"\b(?:a )?sua sessão (?:expirou|terminou)", r"^\W*(?:inicie a sessão|identifique-se|volte a entrar)\b", r"\b(?:ative|ativar|permita|permitir|habilite|habilitar) (?:o javascript|javascript|os scripts|js)\b", r"^\W*acesso (?:negado|restrito|reservado)\b",
-)
-
-
-# Words of which every pattern above needs one; only lines with any of them are matched against the patterns.
-TRIGGERS = """
-prepared publiée turn enable allow activate see read view page again
-released published available
-http disponible design intentionally registered register subscribe js scripting undefined variable uploaded processed preparation construction review settings switch permit permitir permita activar habilitar active autorisez permettre permettez permitir ativar purposes
-line link token url active found displayed hidden exist longer denied restricted forbidden authorised authorized unauthorised unauthorized right reserved invitation session visit login log sign browser network device
-address account connection queue javascript java scripts script scripting cookies noscript loading wait many limit timeout time upstream answer wrong broke server sql traceback exception error
-warning object nginx request maintenance status code código erro erreur later return search spelling moved prove confirm verify show preview display purpose blank nothing administrator tell
-recherché recherchée recherchés recherchées demandé demandée demandés demandées activez activer autoriser expiré reconnectez veuillez identifiez connectez accès rechargez publié désolé sentimos desculpe dear
-página encontró abrir acceso sesión identifíquese vuelva habilite sessão identifique volte ative ativar acesso
-body dummy filler blind placeholder sample test example heading wording text type paste write enter insert lorem exemple aquí ejemplo exemplo relleno aqui
-""".split()
-
-
-def _any(patterns: tuple[str, ...]) -> str:
-    return "(?iU)" + "|".join(f"(?:{p})" for p in patterns)
+#: Delimiters that no language but a template's uses, around an identifier: a slot even if it stands alone.
+TEMPLATE_SYNTAX = r"\{\{\s*[\p{L}_][\p{L}\p{N}_.]*\s*\}\}|<%=?\s*[\p{L}_][\p{L}\p{N}_.]*\s*%>|[$#]\{[\p{L}_][\p{L}\p{N}_.]*\}|\{%\s*[\p{L}_][\p{L}\p{N}_.]*\s*%\}|%%[\p{L}_][\p{L}\p{N}_.]*%%|@@[\p{L}_][\p{L}\p{N}_.]*@@"
+FRAGMENT = rf"({TEMPLATE_SYNTAX}|\{{[^{{}}\n]{{1,60}}\}}\}}?|\[\[?[^\[\]\n]{{1,60}}\]\]?|<<?[^<>\n]{{1,60}}>>?|%%[\p{{L}}_.]{{1,40}}%%|@@[\p{{L}}_.]{{1,40}}@@|\([^()\n]{{1,60}}\)|\bXX [\p{{L}} _.]{{1,40}} XX\b)"
+#: A line of a form that is short and ends in signs that hold the place of a value: its label, and the signs.
+BLANK_LINE = r"(?U)^\s*([^\n;_?…\[\]]{0,60}?[\p{L}.]?)\s*:?\s*(_{4,}|_{2,}(?:/_{2,})+|\[\s*\]|\.{6,}|…{2,}|\?{4,})\s*[.;]?\s*$"
+FORM_LINE = r"(?U)^\s*(\p{L}[^\n;:]{0,60}?)\s*:?\s+(\S{1,20}?)\s*[.;]?\s*$"
 
 
 def segments(text: Column) -> Column:
@@ -68,17 +44,32 @@ def segments(text: Column) -> Column:
     return F.filter(F.transform(parts, lambda x: F.trim(F.regexp_replace(x, r"(?U)\s+", " "))), lambda x: x != "")
 
 
-def _wordless(segment: Column) -> Column:
-    """Five words or more in lower case but the first, none of them common in any of the languages: filler that only looks like a text."""
-    tokens = F.filter(F.split(segment, r"(?U)[^\p{L}\p{M}'’]+"), lambda w: w != "")
-    return segment.rlike(r"(?U)^\p{L}[\p{Ll}]+(?:,? \p{Ll}+){4,}[.?!]?$") & F.forall(tokens, lambda w: ~F.lower(w).isin(COMMON))
+def token_segments(text: Column) -> Column:
+    """array<array<string>>: the lower-case words of each segment, a number as #; segments without a word left out."""
+    plain = F.regexp_replace(F.lower(text), r"\p{N}+", " # ")
+    tokens = F.transform(F.split(plain, r"(?<=[.!?…])\s+|\n"), lambda s: F.filter(F.split(s, r"[^\p{L}\p{M}#'’]+"), lambda w: w != ""))
+    return F.filter(tokens, lambda s: F.size(s) > 0)
+
+
+def _pairs(segment: Column) -> Column:
+    """The hashes of a segment's neighbouring words, its ends included."""
+    return F.transform(F.concat(F.array(F.lit("^")), segment), lambda w, i: F.xxhash64(w, F.coalesce(F.get(segment, i), F.lit("$"))))
+
 
+def _words(segment: Column) -> Column:
+    return F.transform(segment, lambda w: F.xxhash64(F.lit("word"), w))
 
-def _kind(segment: Column) -> Column:
-    words = F.split(F.lower(segment), r"[^\p{L}]+")
-    may = F.exists(words, lambda w: w.isin(TRIGGERS))
-    blank = segment.rlike(r"__|\[ ?\]|\.{6}|\?{4}|X{4}|TBD") & segment.rlike(BLANK)
-    return F.when(blank, "field").when((may & segment.rlike(_any(FILLER))) | _wordless(segment), "filler").when(may & segment.rlike(_any(MESSAGES)), "message")
+
+def repeats_itself(text: Column) -> Column:
+    """0 to 2: whether blocks of a text's tokens have few different ones, and whether whole segments recur besides. Numbers count as they are, so tables of figures don't."""
+    tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}'’]+"), lambda w: w != "")
+
+    def of(t: Column) -> Column:
+        different = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1)), F.lit(BLOCK)), F.lit(0), lambda acc, i: acc + F.size(F.array_distinct(F.slice(t, i, F.lit(BLOCK)))))
+        return (F.size(t) >= LEAST_TOKENS) & (different <= MOST_DIFFERENT * F.greatest(F.size(t), F.lit(1)))
+
+    again = _let(segments(text), lambda s: F.size(F.array_distinct(s)) * 2 <= F.size(s))
+    return F.when(~_let(tokens, of), 0).when(again, 2).otherwise(1)
 
 
 def _fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,74 +91,91 @@ def slots(fragments: DataFrame) -> DataFrame:
     """(fragment) of the distinct fragments that are slots still holding a variable's name.
 
     Fragments are aligned as wrapper and name. Names that fill several
-    wrappers and wrappers that take several such names confirm each other.
+    wrappers and wrappers that take several such names confirm each other. In
+    the delimiters of a template language an identifier needs no confirmation.
     """
-    named = fragments.where(~F.col("fragment").rlike(r"\p{N}[^\n]*/|/[^\n]*\p{N}"))  # references to documents are no slots
-    pairs = durable(named.select("fragment").distinct().mapInArrow(_fill, "fragment string, wrapper string, name string"))
+    distinct = durable(fragments.select("fragment").distinct())
+    named = distinct.where(~F.col("fragment").rlike(r"\p{N}[^\n]*/|/[^\n]*\p{N}"))  # references to documents are no slots
+    pairs = durable(named.mapInArrow(_fill, "fragment string, wrapper string, name string"))
     names = pairs.groupBy("name").agg(F.count_distinct("wrapper").alias("n")).where(F.col("n") >= LEAST_WRAPPERS).select("name")
-    named = durable(pairs.join(names, "name", "left_semi"))
-    wrappers = named.groupBy("wrapper").agg(F.count_distinct("name").alias("n")).where(F.col("n") >= LEAST_NAMES).select("wrapper")
-    return named.join(wrappers, "wrapper", "left_semi").select("fragment").distinct()
+    confirmed = durable(pairs.join(names, "name", "left_semi"))
+    wrappers = confirmed.groupBy("wrapper").agg(F.count_distinct("name").alias("n")).where(F.col("n") >= LEAST_NAMES).select("wrapper")
+    return confirmed.join(wrappers, "wrapper", "left_semi").select("fragment").unionByName(distinct.where(F.col("fragment").rlike(TEMPLATE_SYNTAX))).distinct()
 
 
-def repeated_pages(rows: DataFrame) -> DataFrame:
-    """(_key) of the records of (_key, _title, _text) whose whole text is a page that stands under several titles, whatever its wording.
+def blank_fields(rows: DataFrame) -> DataFrame:
+    """(_key) of the records of (_key, _text) with a form's line left blank or holding a default.
 
-    Records are aligned by hash: the whole text with digits masked, and short
-    ones with each segment or word in turn taken for a slot. Copies of a
-    document have one title and are no template; nor is a page with a segment
-    whose first words mostly begin segments elsewhere.
+    Lines are aligned as label and value. A value of signs only is blank. A
+    word is a default if it stands after several labels that other records
+    leave blank.
+    """
+    may = rows.where(F.col("_text").rlike(r"_{2}|\[\s*\]|\.{6}|…{2}|\?{4}"))
+    lines = may.select("_key", F.explode_outer(F.split(F.translate("_text", ";", "\n"), "\n")).alias("line")).where(F.col("line").rlike(BLANK_LINE))
+    blank = durable(lines.select("_key", F.lower(F.regexp_extract("line", BLANK_LINE, 1)).alias("label")))
+    labels = small_side(blank.where("label <> ''").groupBy("label").agg(F.count_distinct("_key").alias("n")).where(F.col("n") >= LEAST_BLANKS).select("label"))
+    # a label stands at the head of a line, so lines of other first words aren't read
+    heads = small_side(labels.select(F.regexp_extract("label", r"^\S+", 0).alias("head")).distinct())
+    short = rows.select("_key", F.explode_outer(F.filter(F.split(F.translate("_text", ";", "\n"), "\n"), lambda x: F.length(x) <= 90)).alias("line")).where(F.col("line").isNotNull())
+    short = short.withColumn("head", F.lower(F.regexp_extract(F.trim("line"), r"^[^\s:]+", 0))).join(heads, "head", "left_semi")
+    filled = short.select("_key", F.lower(F.regexp_extract("line", FORM_LINE, 1)).alias("label"), F.regexp_extract("line", FORM_LINE, 2).alias("value")).where("value <> ''").join(labels, "label", "left_semi")
+    filled = durable(filled)
+    defaults = small_side(filled.groupBy("value").agg(F.count_distinct("label").alias("n")).where(F.col("n") >= LEAST_LABELS).select("value"))
+    return blank.select("_key").unionByName(filled.join(defaults, "value", "left_semi").select("_key")).distinct()
+
+
+def template_rows(rows: DataFrame) -> DataFrame:
+    """(_key, kind) of the records of (_key, _title, _text) that hold a segment of a page template (page) or of filler (filler).
+
+    Short texts are read as pages. Texts that repeat their words are read as
+    filler, and are filler if they repeat whole segments.
+    A word pair is fixed in a template if it stands on pages under several
+    titles, and in most of its records on a page: pairs of ordinary sentences
+    stand in longer texts too, and copies of a document have one title. What
+    varies between the fixed pairs are slots. Words of filler are found alike.
+    A segment whose pairs are mostly fixed, or whose words are mostly those of
+    filler, is residue wherever it stands, in texts of any length.
     """
-    parts = rows.select("_key", "_title", F.transform(segments(F.col("_text")), lambda x: F.regexp_replace(x, r"\p{N}+", "#")).alias("parts")).where(F.size("parts") > 0)
-    parts = parts.withColumn("words", F.split(F.array_join("parts", " "), " "))
-
-    def one_out(items: str) -> Column:
-        return F.transform(items, lambda _, i: F.xxhash64(F.lit(items), F.transform(items, lambda x, j: F.when(i == j, SLOT).otherwise(x))))
-
-    none = F.array().cast("array<bigint>")
-    by_segment = F.when(F.size("parts").between(2, MOST_SEGMENTS), one_out("parts")).otherwise(none)
-    by_word = F.when(F.size("words").between(LEAST_WORDS, MOST_WORDS), one_out("words")).otherwise(none)
-    pages = durable(parts.select("_key", F.xxhash64("_title").alias("title"), F.concat(F.array(F.xxhash64("parts")), by_segment, by_word).alias("ways"), F.array_distinct(F.transform("parts", lambda x: F.xxhash64(F.slice(F.split(x, " "), 1, OPENING)))).alias("forms")))
-    ways = pages.select("_key", "title", F.explode("ways").alias("way"))
-    templates = ways.groupBy("way").agg(F.count_distinct("_key").alias("n"), F.count_distinct("title").alias("titles")).where((F.col("n") >= LEAST_PAGES) & (F.col("titles") >= LEAST_PAGES)).select("way")
-    aligned = durable(ways.join(small_side(templates), "way", "left_semi").select("_key").distinct())
-    forms = pages.select("_key", F.explode("forms").alias("form")).distinct()
-    there = durable(forms.join(aligned, "_key", "left_semi"))
-    on_pages = small_side(there.groupBy("form").agg(F.count(F.lit(1)).alias("n")))
-    elsewhere = forms.join(on_pages, "form").groupBy("form", "n").agg(F.count(F.lit(1)).alias("everywhere")).where(F.col("n") * 2 <= F.col("everywhere")).select("form")
-    return aligned.join(there.join(small_side(elsewhere), "form", "left_semi").select("_key").distinct(), "_key", "left_anti")
+    page, filler = F.length("_text") <= PAGE_CHARS, repeats_itself(F.col("_text"))
+    seeds = durable(rows.select("*", page.alias("_page"), F.explode_outer(F.array(filler)).alias("_repeats")).withColumn("_filler", F.col("_repeats") > 0).where("_page OR _filler"))
+    found_filler = seeds.where("_repeats = 2").select("_key", F.lit("filler").alias("kind")).distinct()
+    each = F.flatten(F.transform("s", lambda x: F.concat(F.when(F.col("_page"), _pairs(x)).otherwise(F.array().cast("array<bigint>")), F.when(F.col("_filler"), _words(x)).otherwise(F.array().cast("array<bigint>")))))
+    seen = seeds.select("_title", "_page", "_filler", token_segments(F.col("_text")).alias("s")).select("_title", F.explode_outer(F.array_distinct(each)).alias("h")).where(F.col("h").isNotNull())
+    known = seen.groupBy("h").agg(F.count_distinct("_title").alias("titles"), F.count(F.lit(1)).alias("here")).where(F.col("titles") >= LEAST_TITLES).select("h", "here")
+    known = small_side(known)
+    all_of = lambda s: F.array_distinct(F.flatten(F.transform(s, lambda x: F.concat(_pairs(x), _words(x)))))
+    everywhere = rows.select(F.explode_outer(all_of(token_segments(F.col("_text")))).alias("h")).join(known, "h").groupBy("h", "here").agg(F.count(F.lit(1)).alias("n"))
+    fixed = small_side(everywhere.where(F.col("here") > LEAST_SHARE * F.col("n")).select("h"))
+    # of a segment with so large a share of fixed pairs or filler words one stands among its first, so only those are looked up; then whole segments of the records that are left
+    most = lambda n, share: F.floor(n * (1 - share) + 1e-9).cast("int") + 1
+    first = F.transform(token_segments(F.col("_text")), lambda x: F.concat(F.slice(_pairs(x), F.lit(1), most(F.size(x) + 1, SEGMENT_SHARE)), F.slice(_words(x), F.lit(1), most(F.size(x), FILLER_SHARE))))
+    near = rows.select("_key", F.explode_outer(F.flatten(first)).alias("h")).join(fixed, "h", "left_semi").select("_key").distinct()
+    cut = rows.join(small_side(near), "_key", "left_semi").select("_key", F.posexplode_outer(token_segments(F.col("_text"))).alias("no", "s")).where(F.col("s").isNotNull())
+    of_both = F.concat(F.transform(_pairs(F.col("s")), lambda h: F.struct(h.alias("h"), F.lit(False).alias("word"))), F.transform(_words(F.col("s")), lambda h: F.struct(h.alias("h"), F.lit(True).alias("word"))))
+    hits = cut.select("_key", "no", F.size("s").alias("n"), F.explode_outer(of_both).alias("x")).select("_key", "no", "n", "x.*").join(fixed, "h", "left_semi")
+    per = hits.groupBy("_key", "no", "n").agg(F.count_if(~F.col("word")).alias("pairs"), F.count_if("word").alias("words"))
+    kind = F.when((F.col("n") + 1 >= LEAST_PAIRS) & (F.col("pairs") >= SEGMENT_SHARE * (F.col("n") + 1)), "page").when((F.col("n") >= LEAST_PAIRS) & (F.col("words") >= FILLER_SHARE * F.col("n")), "filler")
+    return found_filler.unionByName(per.select("_key", kind.alias("kind")).where("kind IS NOT NULL")).distinct()
 
 
 def residue_rows(df: DataFrame, key: str = "doc_id", text: str = "text", title: str = "title") -> DataFrame:
-    """(key, kinds) of the records whose text holds residue: slot, field, filler, message or page (array, in order).
+    """(key, kinds) of the records whose text holds residue: field, filler, page or slot (array, in order).
 
     Null and blank texts have none; repeated rows come out each (key may
-    repeat: rows of one key count as one record). Without the title's column
-    pages are found by their wording only, as copies can't be told from templates.
+    repeat: rows of one key count as one record). A record without a title, or
+    a table without the title's column, stands for itself: its text counts as
+    its title, so copies never make a template.
     """
-    titled = title in df.columns
-    rows = df.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("_key"), F.col(text).alias("_text"), *([F.col(title).alias("_title")] if titled else []))
-    cut = rows.select("_key", F.explode_outer(segments(F.col("_text"))).alias("segment"))
-    marked = durable(cut.select("_key", _kind(F.col("segment")).alias("kind"), F.xxhash64(F.regexp_replace("segment", r"\p{N}+", "#")).alias("form")))
-    # pages of messages only, and the further lines of their templates
-    pages = marked.groupBy("_key").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("kind") == "message").alias("messages"), F.collect_set("kind").alias("kinds"))
-    kept = durable(pages.where(F.size("kinds") > 0))
-    whole = kept.where(F.col("messages") * 2 >= F.col("lines")).select("_key")
-    if titled:
-        repeated = durable(repeated_pages(rows))
-        whole = whole.union(repeated).distinct()
+    named = F.xxhash64(F.col(title) if title in df.columns else F.lit(None).cast("string"), F.when((F.col(title) if title in df.columns else F.lit(None).cast("string")).isNull(), F.col(text)))
+    rows = df.where(F.col(text).rlike(r"(?U)\S")).select(F.col(key).alias("_key"), F.col(text).alias("_text"), named.alias("_title"))
     fragments = rows.where(F.col("_text").rlike(FRAGMENT)).select("_key", F.explode_outer(F.array_distinct(F.regexp_extract_all("_text", F.lit(FRAGMENT), F.lit(1)))).alias("fragment")).where(F.col("fragment").isNotNull())
+    fragments = durable(fragments)
     slotted = fragments.join(small_side(slots(fragments)), "fragment", "left_semi").select("_key", F.lit("slot").alias("kind"))
-    on_pages = marked.where(F.col("kind").isNull()).join(small_side(whole), "_key", "left_semi").groupBy("form").agg(F.count_distinct("_key").alias("n")).where(F.col("n") >= LEAST_PAGES).select("form")
-    templates = marked.where(F.col("kind").isNull()).join(small_side(on_pages), "form", "left_semi").groupBy("form").agg(F.count_distinct("_key").alias("everywhere"))
-    sure = marked.where(F.col("kind").isNull()).join(small_side(whole), "_key", "left_semi").groupBy("form").agg(F.count_distinct("_key").alias("n")).join(templates, "form").where(F.col("n") * 2 > F.col("everywhere")).select("form")
-    lines = marked.where(F.col("kind").isNull()).join(small_side(sure), "form", "left_semi").select("_key", F.lit("page").alias("kind"))
-    found = kept.select("_key", F.explode("kinds").alias("kind")).unionByName(slotted).unionByName(lines)
-    if titled:
-        found = found.unionByName(repeated.select("_key", F.lit("page").alias("kind")))
+    blank = blank_fields(rows).select("_key", F.lit("field").alias("kind"))
+    found = template_rows(rows).unionByName(slotted).unionByName(blank)
     return found.groupBy(F.col("_key").alias(key)).agg(F.array_sort(F.collect_set("kind")).alias("kinds"))
 
 
-def without_residue(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_residue(df: DataFrame, key: str = "doc_id", text: str = "text", title: str = "title") -> DataFrame:
     """The records that hold none, all columns kept."""
-    return df.join(residue_rows(df, key, text).select(key), key, "left_anti")
+    return df.join(residue_rows(df, key, text, title).select(key), key, "left_anti")

@@ -227,32 +227,59 @@ def test_tokens_of_long_texts_are_those_of_the_whole(spark):
     assert got[1] == len(whole.encode_ordinary("Hello world")) and got[4] == len(whole.encode_ordinary(long)) and got[5] == len(whole.encode_ordinary("x" * 120_000))
 
 
-def test_residue(spark):
-    slots = [f"{PROSE} Statement by {w.format(n)} at the Forum." for w in ("{{{{{}}}}}", "[insert {} here]", "<{} goes here>", "%%{}%%") for n in ("speaker", "country", "title")]
-    residue_texts = ["Subject of the item: ______", "Capital: [  ]", "Dummy text - replace before printing.", "Lorem ipsum dolor sit amet.", "Justod pellen elitum adipis tetuer morel praes.", "Your session has expired. Log in to continue.", "404 : page not found.", PROSE + " You must enable scripts to see this record."]
-    fine = [PROSE, PROSE + " The text [both options] in paragraph 2 remains open (see annex 3).", "Access was denied to 5 inspectors at the northern gate.", "The ministry's website showed an error page for two days, which is why our reply was late.", "", "  "]
-    given = slots + residue_texts + fine
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)] + [(99, None)], "doc_id bigint, text string").withColumn("kind", F.lit(1))
-    assert ids(residue.residue_rows(df), "doc_id") == [*range(len(slots) + len(residue_texts))]
-    assert ids(residue.without_residue(df), "doc_id") == [*range(len(slots) + len(residue_texts), len(given)), 99]
+def documents(spark, texts, titles=None):
+    return spark.createDataFrame([(i, t, titles[i] if titles else f"title {i}") for i, t in enumerate(texts)], "doc_id bigint, text string, title string")
+
+
+def speech(i):
+    """A text of its own: no two share a sentence."""
+    pick = lambda words, k: words[(i // k) % len(words)]
+    a, b, c = ("harbour", "river", "border", "coast", "island"), ("report", "treaty", "survey", "audit"), ("members", "observers", "ministers")
+    return f"The committee on the {pick(a, 1)} has taken note of the {pick(b, 5)} and will return to it with the {pick(c, 20)} in part {i}. We thank all of the {pick(c, 1)} for the {pick(b, 3)} of the {pick(a, 4)} and hope that the work will go on. The access of the public to the record was denied to nobody, and the page of the minutes that was found to be missing has been put back by the {pick(c, 7)} without delay. It was said in the debate that the session on the {pick(a, 2)} expired before the vote could be held, which nobody of the {pick(c, 3)} has forgotten since. The text of the {pick(b, 2)} remains open until the next {pick(b, 4)} of the {pick(a, 3)} has been read, and the members have been asked to send their remarks on it."
+
+
+def test_residue_slots_and_blanks(spark):
+    slots = [f"{speech(k)} Statement by {w.format(n)} at the Forum." for k, (w, n) in enumerate((w, n) for w in ("[insert {} here]", "<{} goes here>", "({} TO BE CONFIRMED)") for n in ("speaker", "country", "title"))]
+    alone = [f"{speech(20)} Signed by {{{{speaker_name}}}}.", "Forum: %%forum_id%%", f"We thank ${{chair}} and {speech(21)}"]
+    blanks = ["Capital: ____\nSignature ????", "Capital ......\nSignature: [  ]", "Date: ____; Seat no. ????", "Date [ ]\nSeat no.: ____", "Capital TBD\nDate: TBD\nSignature TBD"]
+    fine = [speech(22), speech(23) + " The text [both options] in paragraph 2 remains open (see annex 3).", speech(24) + " We insert [see M/RS/69/CRP.14], and we did so.", "", "  ", "Capital: Jasabury\nDate: 3 May"]
+    given = slots + alone + blanks + fine
+    df = documents(spark, given).withColumn("kind", F.lit(1))
+    df = df.unionByName(spark.createDataFrame([(99, None, None, 1), (99, None, None, 1)], df.schema))
+    assert ids(residue.residue_rows(df), "doc_id") == [*range(len(slots + alone + blanks))]
+    assert ids(residue.without_residue(df), "doc_id") == [*range(len(slots + alone + blanks), len(given)), 99, 99]
     assert residue.residue_rows(df.limit(0)).count() == 0
 
 
-def test_messages_without_the_former_triggers(spark):
-    given = ["Document being prepared", "La fiche n’est pas encore publiée", "Turn it on and try again", "Enable them to see more", "Allow it to see the record.", "Activate it to read the page"]
-    assert ids(residue.residue_rows(spark.createDataFrame([(i, t) for i, t in enumerate([*given, PROSE])], "doc_id bigint, text string")), "doc_id") == [*range(6)]
-
-
-def test_pages_of_unlisted_wording_found_by_repetition(spark):
-    page = "Beitrag {} wurde zurückgezogen.\nBitte wenden Sie sich an das Archiv."
-    rows = [(i, f"title {i}", page.format(n)) for i, n in enumerate(("Aldermark", "Valdoria", "Okavara"))]  # aligned, one word a slot
-    rows += [(3 + i, f"title {i}", f"Toimintoa ei voitu suorittaa, virhe {i}.") for i in range(3)]
-    rows += [(6, "other", PROSE + " Bitte wenden Sie sich an das Archiv.")]  # a line of the template among sentences
-    rows += [(10 + i, "one title", PROSE) for i in range(4)] + [(20 + i, f"title {i}", f"We thank the {n}") for i, n in enumerate(("members", "chair", "staff"))]  # copies, and cut sentences
-    rows += [(30 + i, "more", f"{PROSE} We thank the chair of part {i}. We thank the staff.") for i in range(4)]
-    df = spark.createDataFrame(rows, "doc_id bigint, title string, text string")
-    assert ids(residue.residue_rows(df), "doc_id") == [*range(7)]
-    assert ids(residue.residue_rows(df.drop("title")), "doc_id") == []
+def test_pages_of_a_template_are_aligned(spark):
+    noun = ("page", "file", "record", "transcript", "statement")
+    pages = [f"Error {400 + i}. The {n} you asked for could not be shown." for i, n in enumerate(noun)] + [f"Beitrag {i} wurde zurückgezogen.\nBitte wenden Sie sich an das Archiv." for i in range(4)]
+    inline = [speech(40) + " Error 503. The lecture you asked for could not be shown."]
+    texts = [speech(i) for i in range(40)]
+    said = "Access was denied to 5 inspectors at the northern gate."
+    plain = ["We listened with attention to your address, Madam President.", "The record of the vote could not be found in the annex.", "Please wait for the interpretation before you take the floor.", "Developing countries need stronger support.", "Wealthy donors promised additional funding yesterday."]
+    fine = [f"{t} {said}" for t in texts[:9]] + [f"{t} {x}" for t, x in zip(texts[9:], plain * 4)] + texts[29:] + plain
+    given = pages + inline + fine
+    df = documents(spark, given)
+    assert ids(residue.residue_rows(df), "doc_id") == [*range(len(pages + inline))]
+    # copies of a short text have one title, or none: no template
+    copied = documents(spark, ["A short note on the tides."] * 9 + texts, ["one"] * 5 + [None] * 4 + [str(i) for i in range(40)])
+    assert residue.residue_rows(copied).count() == 0
+    # a page that a third of all records show
+    hot = documents(spark, pages[:1] * 25 + texts)
+    assert ids(residue.residue_rows(hot), "doc_id") == [*range(25)]
+    assert ids(residue.residue_rows(df.drop("title")), "doc_id") == [*range(len(pages + inline))]
+
+
+def test_filler(spark):
+    rng = random.Random(8)
+    vocabulary = [f"{a}{b}" for a in ("lor", "ips", "dol", "sit") for b in ("em", "um", "ar", "ent", "is")]
+    lorem = [" ".join(" ".join(rng.choice(vocabulary) for _ in range(8)).capitalize() + "." for _ in range(9)) for _ in range(5)]
+    short = [" ".join(vocabulary[:4]).capitalize() + "."]
+    again = ["Write your answer here. " * 6, "Heading two. Sample paragraph.\n" * 5]
+    table = "\n".join(f"member {i} | {i * 7} | {i * 3}" for i in range(30))
+    given = [*lorem, *short, *again, table, "No. No. No.", *(speech(i) for i in range(30))]
+    assert ids(residue.residue_rows(documents(spark, given)), "doc_id") == [*range(8)]
 
 
 def test_stored_rules_are_rules():
