@@ -68,7 +68,9 @@ def garbled_forms(vocabulary: DataFrame) -> DataFrame:
     """
     clean = vocabulary.where(~F.col("word").rlike(TRACE))
     written = clean.mapInArrow(_write_forms, FORMS).where((F.col("form") != F.col("original")) & (F.when(F.col("level") == "unit", F.col("form").rlike(TELLING)).otherwise(~F.col("by_byte") | F.col("form").rlike(r"\p{L}"))))
-    return written.groupBy("form", "level").agg(F.max(F.struct("seen", F.col("by_byte").alias("by_byte"), "original")).alias("best"), F.min("by_byte").alias("by_byte")).select("form", "level", F.col("best.original").alias("original"), "by_byte", F.col("best.seen").alias("seen"))
+    # a unit is counted by batches of words: its sum first, so that nothing depends on how words fall into batches
+    summed = written.groupBy("form", "level", "original", "by_byte").agg(F.sum("seen").alias("seen"))
+    return summed.groupBy("form", "level").agg(F.max(F.struct("seen", F.col("by_byte").alias("by_byte"), "original")).alias("best"), F.min("by_byte").alias("by_byte")).select("form", "level", F.col("best.original").alias("original"), "by_byte", F.col("best.seen").alias("seen"))
 
 
 def _pure(word: Column) -> Column:
@@ -121,10 +123,19 @@ def garbled_rows(df: DataFrame, key: str, text: str, extra: DataFrame | None = N
 def restored_texts(df: DataFrame, key: str, text: str, extra: DataFrame | None = None) -> DataFrame:
     """(key, text, restored, lost): the rows of garbled_rows with the verified originals put in place.
 
-    A word without an original stays as it is; lost counts them. Letters and
-    signs around words aren't changed.
+    The text is parted into words as they were looked up, and each is replaced
+    as a whole, never a part of another. A word that would be a proper word of
+    another script is replaced only if the text has no other word of pure
+    foreign letters, as such a text may be in that script. A word without an
+    original stays as it is; lost counts those and the ones left for that
+    reason. What stands between words isn't changed.
     """
     found = garbled_rows(df, key, text, extra).withColumnRenamed("words", "_words")
-    longest_first = F.array_sort(F.filter(F.col("_words"), lambda x: x["original"].isNotNull()), lambda a, b: F.length(b["word"]) - F.length(a["word"]))
-    put = F.aggregate(longest_first, F.col(text), lambda acc, x: F.replace(acc, x["word"], x["original"]))
-    return df.select(key, text).join(found, key).select(key, text, put.alias("restored"), F.size(F.filter("_words", lambda x: x["original"].isNull())).cast("bigint").alias("lost"))
+    both = df.select(key, text).join(found, key)
+    known = F.transform("_words", lambda x: x["word"])
+    foreign = F.exists(words(F.col(text)), lambda w: _pure(w) & ~F.array_contains(known, w))
+    put = F.filter("_words", lambda x: x["original"].isNotNull() & (~_pure(x["word"]) | ~F.col("_foreign")))
+    both = both.withColumn("_foreign", foreign).withColumn("_put", F.map_from_entries(F.transform(put, lambda x: F.struct(x["word"], x["original"]))))
+    tokens = F.regexp_extract_all(text, F.lit(rf"{BREAK}|[^{BREAK[1:-2]}]+"), F.lit(0))
+    restored = F.array_join(F.transform(tokens, lambda w: F.coalesce(F.element_at("_put", w), w)), "")
+    return both.select(key, text, restored.alias("restored"), (F.size("_words") - F.size("_put")).cast("bigint").alias("lost"))

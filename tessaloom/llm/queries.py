@@ -28,8 +28,10 @@ def _garbled_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The figures of every text and whether the rules take it for prose."""
-    return prose.figures(table(spark, sf_dir, GATE).select("row_idx", "Text")).withColumn("is_prose", prose.is_prose()).drop("Text")
+    """The figures of every text, its share of the words common in the corpus, and whether the rules take it for prose."""
+    rows = table(spark, sf_dir, GATE).select("row_idx", "Text")
+    common = prose.common_words(rows)
+    return prose.figures(rows).withColumns({"common_share": prose.common_share(F.col("Text"), common), "is_prose": prose.is_prose()}).drop("Text")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def p2_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Key and text of the rows that p1_found doesn't have."""
     rows = table(spark, sf_dir, GATE).select("row_idx", "Text").where(F.col("Text").rlike(r"(?U)[^\s\x1c-\x1f]"))
-    return prose.figures(rows).where(prose.is_prose()).select("row_idx", "Text")
+    return prose.figures(rows, only=prose.needed_figures()).where(prose.is_prose()).select("row_idx", "Text")
 
 
 def p3_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +72,12 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_lines.without_excessive_lines(table(spark, sf_dir, GATE)).select("row_idx", "text_kept")
+    return site_lines.without_excessive_lines(table(spark, sf_dir, GATE), date="Date").select("row_idx", "text_kept")
+
+
+def p5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The excessive lines with their documents, clusters of documents and publication dates."""
+    return site_lines.line_counts(table(spark, sf_dir, GATE))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,7 +130,7 @@ def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p3_repaired, p5_found, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p3_repaired, p5_found, p5_lines, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"

@@ -79,12 +79,6 @@ def induce(x: np.ndarray, y: np.ndarray, seed: int = 7) -> list[list[Condition]]
         rule = rule[: max(lengths, key=lambda n: (_worth(rule[:n], x[~grow], y[~grow]), -n))]
         if _worth(rule, x[~grow], y[~grow]) <= 0:
             break
-        # the last threshold once more, from all rows the others leave
-        feature = rule[-1][0]
-        near = _covered(rule[:-1], x)
-        again = _best_condition(x[near][:, [feature]], y[near])
-        if again and again[1][1] == rule[-1][1]:
-            rule[-1] = (feature, *again[1][1:])
         out.append(rule)
         left = ~_covered(rule, x)
         x, y = x[left], y[left]

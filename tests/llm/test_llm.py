@@ -71,6 +71,13 @@ def test_garbled_word_seen_nowhere_clean(spark):
     assert ids(encoding.garbled_rows(gate(spark, ["été", "le mÃ©cauisme"]), "row_idx", "Text")) == [1]
 
 
+def test_restoring_keeps_proper_words(spark):
+    chains = dict(charsets.garbled("délégation"))
+    given = ["à la région", "délégation", f"{chains['utf8>cp1252']} : Наша страна, а также Россия", f"{chains['utf8>cp1252']} а la région", "à la délégation", "à la région", "à la région"]
+    got = {r["row_idx"]: (r["restored"], r["lost"]) for r in encoding.restored_texts(gate(spark, given), "row_idx", "Text").collect()}
+    assert got[2] == ("délégation : Наша страна, а также Россия", 1) and got[3] == ("délégation à la région", 0) and set(got) == {2, 3}
+
+
 def test_scan_noise(spark):
     clean = [PROSE.replace(" the ", "\nthe "), PROSE.upper(), "It took place on the 4th of May at 12:30 in room 7.", None, ""]
     noisy = [PROSE.replace("committee", "com-\nmittee"), PROSE.replace("report", "rep0rt"), PROSE + "\n— 40 —\nand so on", PROSE + "\nVerbatim, vol. II, M/AS/47/L.73\nand so on", PROSE.replace("committee", "com­\nmittee")]
@@ -129,6 +136,19 @@ def test_site_lines(spark):
     assert [(r["source"], r["documents"], r["dates"]) for r in lines] == [("A", 8, 1)]  # the document delivered twice counts once
 
 
+def test_republished_articles_are_no_site_lines(spark):
+    article = "\n".join(f"Paragraph {w} of the article speaks at length about the {w} of the harbour." for w in ("history", "trade", "winter", "ships"))
+    notice = "All rights of this site are reserved."
+    rows = [(i, i, "A", f"200{i}-01-01", f"{article}\nposted by {n}") for i, n in enumerate(("Ann", "Bo", "Cy"))]
+    rows += [(i, i, "A", f"199{i}-01-01", f"A text about subject {chr(97 + i) * 9}.\n{notice}") for i in range(3, 7)]
+    rows += [(i, i, "B", "2001-01-01", f"One day only, topic {chr(97 + i) * 9}.\n{notice}") for i in range(10, 14)]
+    df = spark.createDataFrame(rows, "row_idx bigint, doc_id bigint, Forum string, Date string, Text string")
+    kept = {r["row_idx"]: r["text_kept"] for r in site_lines.without_excessive_lines(df, date="Date").collect()}
+    assert all(kept[i] == rows[i][4] for i in range(3)) and all(notice not in kept[i] for i in range(3, 7)) and all(notice in kept[i] for i in range(10, 14))
+    lines = {(r["source"], r["line"]): (r["documents"], r["clusters"], r["dates"]) for r in site_lines.line_counts(df).collect()}
+    assert lines["A", notice.lower()] == (4, 4, 4) and lines["B", notice.lower()] == (4, None, None) and len(lines) == 6
+
+
 def test_looks(spark):
     values = ["Aldermark", "Аldermark", "Ａldermark", "Al​dermark", "South Dravena", "South  Dravena\t", "Келмара", "СОСО", "COCO", "РОР", None, "", " ", "​", "C\u030cestrova"]
     df = gate(spark, values, "row_idx bigint, Country string").withColumn("value", F.lit(1))
@@ -282,5 +302,17 @@ def test_filler(spark):
     assert ids(residue.residue_rows(documents(spark, given)), "doc_id") == [*range(8)]
 
 
+def test_speeches_in_other_languages_stay(spark):
+    german = "Herr Präsident, wir danken dem Ausschuss für die Arbeit an dem Bericht und für die Geduld der letzten Wochen. Unsere Delegation unterstützt den Entwurf, weil er die Sicherheit der Häfen stärkt. Die Verhandlungen waren lang, aber sie haben sich gelohnt."
+    russian = "Господин Председатель, мы благодарим комитет за работу над докладом и за терпение. Наша делегация поддерживает проект, потому что он укрепляет безопасность портов. Переговоры были долгими, но они того стоили."
+    italian = "Signor Presidente, ringraziamo il comitato per il lavoro sul rapporto e per la pazienza. La nostra delegazione sostiene il progetto perché rafforza la sicurezza dei porti. I negoziati sono stati lunghi, ma ne è valsa la pena."
+    chinese = "主席先生，我们感谢委员会就报告所做的工作，也感谢大家的耐心。我们代表团支持该草案，因为它加强了港口的安全。"
+    assert ids(prose.not_prose(gate(spark, [german, russian, italian, chinese, german.upper(), german.replace(". ", ".\n")]))) == []
+    figures = prose.figures(gate(spark, [german]), only=("words", "end_share")).first()
+    assert figures["words"] == 40 and figures["end_share"] == 1.0 and "short_share" not in figures
+    assert prose.common_words(gate(spark, ["a b b", "b c", None]), most=2) == ["b", "a"]
+    assert gate(spark, ["a b x y", "", None]).select(prose.common_share(F.col("Text"), ["b", "a"]).alias("c")).toPandas()["c"].fillna(-1).tolist() == [0.5, 0.0, -1.0]
+
+
 def test_stored_rules_are_rules():
     assert json.dumps(prose.rules()) and all(name in prose.FIGURES for rule in prose.rules() for name, _, _ in rule["if"])
