@@ -112,6 +112,19 @@ def test_misreadings_put_right_by_their_context(spark):
     assert got == {90: "Summer heat was strong in those valleys.", 91: "A quiet beaf opens onto every sheltered coast."}
 
 
+def test_words_of_their_own_context_stay(spark):
+    seen = ["They live in the east of the province and go east in the summer."] * 45
+    page = "The votes cast in the com-\nmittee were counted. They live in the e@st of the province."
+    df = gate(spark, [*seen, page])
+    assert {r["repaired"] for r in scans.repaired_rows(df).collect()} == {"The votes cast in the committee were counted. They live in the east of the province."}
+
+
+def test_headers_without_numbers(spark):
+    pages = [f"We thank the {w} for\nHarbour Forum of the Northern Sea\nthe work on the {w} report." for w in ("members", "chair", "staff", "hosts")]
+    clean = [f"{PROSE}\nHarbour treaty of part {chr(97 + i)}\n{PROSE}" for i in range(6)]
+    assert ids(scans.noisy_rows(gate(spark, pages + clean))) == [0, 1, 2, 3]
+
+
 def test_confused_glyphs_have_equal_skeletons(spark):
     alike = [("perlod", "period"), ("wlthout", "without"), ("commlttee", "committee"), ("notif1cation", "notification"), ("maiim", "maum"), ("pcriod", "period"), ("panei", "panel"), ("govemment", "government"), ("rehef", "relief"), ("dedined", "declined"), ("vvith", "with"), ("gouveruement", "gouvernement"), ("tbe", "the"), ("mect", "meet"), ("cjaim", "claim"), ("o1d", "old")]
     apart = [("paid", "panel"), ("of", "off"), ("the", "tree")]
@@ -120,7 +133,7 @@ def test_confused_glyphs_have_equal_skeletons(spark):
     df = gate(spark, [PROSE] * 30 + [PROSE.replace("committee", "commlttee").replace("return", "retum")])
     assert ids(scans.noisy_rows(df)) == [30]
     many = spark.createDataFrame([(i, "the") for i in range(500)] + [(500, "tbe"), (501, "t@e"), (502, "ths")] + [(i, "las") for i in range(500)] + [(503, "l@s")], "key bigint, word string")
-    assert sorted((r["word"], r["original"]) for r in scans.misreadings(many).collect()) == [("l@s", "las")]
+    assert sorted((r["word"], r["original"]) for r in scans.misreadings(scans.word_counts(many)).collect()) == [("l@s", "las")]
 
 
 def test_site_lines(spark):
