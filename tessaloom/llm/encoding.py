@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tessaloom.functions import charsets
+from tessaloom.llm import charsets
 from tessaloom.session import durable, small_side
 
 #: Everything of ASCII but letters, digits, apostrophe and hyphen parts words.

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessaloom.functions import lookalike
+from tessaloom.llm import lookalike
 from tessaloom.session import durable, small_side
 
 
@@ -16,23 +16,31 @@ def _forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = batch["value"].to_pylist()
         usual = [lookalike.usual_form(v) for v in values]
-        columns = [[lookalike.skeleton(v) for v in values], usual, [lookalike.latin_reading(v) for v in usual]]
-        yield pa.RecordBatch.from_arrays([batch["value"], batch["seen"], *(pa.array(c, pa.string()) for c in columns)], ["value", "seen", "skeleton", "usual", "latin"])
+        columns = [[lookalike.skeleton(v) for v in values], usual, [lookalike.latin_reading(u) or lookalike.digit_reading(u) for u in usual]]
+        yield pa.RecordBatch.from_arrays([batch["value"], batch["seen"], *(pa.array(c, pa.string()) for c in columns)], ["value", "seen", "skeleton", "usual", "other"])
 
 
 def one_form(values: DataFrame) -> DataFrame:
     """(value, skeleton, usual) for the distinct values (value, seen) of a column.
 
-    usual is the form in composed letters, plain blanks and one script a word.
-    A value whose letters are all of another script and all look Latin takes
-    the Latin form only if its group of equal skeleton has a Latin value.
-    Groups are small (forms of one look), so grouping is an aggregation of
-    one flag, not a gathering of values.
+    Values are grouped by equal skeleton. A group's form is its member most
+    often seen among those that are in composed letters, plain blanks and one
+    script a word already; ties go by order. The others of the group take it.
+    A group without such a member has every value in its own usual form. A
+    value that is usual by itself but could be read otherwise (all letters of
+    another script that all look Latin; 0 or 1 among letters) takes the
+    group's form only if the group has a member without another reading.
+    Groups are small (forms of one look), and only the best member of each is
+    kept, so no group is gathered.
     """
-    formed = durable(values.mapInArrow(_forms, "value string, seen bigint, skeleton string, usual string, latin string"))
-    latin = formed.where(F.col("latin").isNull()).select("skeleton").distinct().withColumn("_latin", F.lit(True))
-    foreign = formed.where(F.col("latin").isNotNull()).join(latin, "skeleton", "left")
-    return formed.where(F.col("latin").isNull()).select("value", "skeleton", "usual").unionByName(foreign.select("value", "skeleton", F.when(F.col("_latin"), F.col("latin")).otherwise(F.col("usual")).alias("usual")))
+    formed = durable(values.mapInArrow(_forms, "value string, seen bigint, skeleton string, usual string, other string"))
+    settled = formed.where(F.col("other").isNull() & (F.col("usual") == F.col("value")))
+    best = settled.groupBy("skeleton").agg(F.max_by("value", F.struct("seen", "value")).alias("_best"))
+    agreed = formed.where(F.col("other").isNull()).groupBy("skeleton").agg(F.max_by("usual", F.struct("seen", "usual")).alias("_agreed"))
+    groups = agreed.join(best, "skeleton", "left").select("skeleton", F.coalesce("_best", "_agreed").alias("_form"))
+    # a value usual by itself stays, though another of its look may be seen more often
+    stays = (F.col("usual") == F.col("value")) & F.col("other").isNull()
+    return formed.join(groups, "skeleton", "left").select("value", "skeleton", F.when(stays, F.col("value")).otherwise(F.coalesce("_form", "usual")).alias("usual"))
 
 
 def in_one_form(df: DataFrame, column: str, into: str = "usual_form", skeleton: str = "skeleton") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessaloom.llm import encoding, look, mixing, packing, prose, residue, scans, site_lines, tokens
+from tessaloom.llm import canonical, encoding, look, mixing, packing, prose, residue, scans, site_lines, split, tokens
 from tessaloom import session
 
 
@@ -67,6 +67,18 @@ def p3_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.repaired_rows(_speeches(spark, sf_dir))
 
 
+def p4_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every free-typed Country with the entry meant, how it was found and how similar it is."""
+    names = session.table(spark, sf_dir, "country_reference").select("name", F.col("iso3").alias("entry"))
+    others = session.table(spark, sf_dir, "country_aliases").select(F.col("alias").alias("name"), F.col("iso3").alias("entry"))
+    codes = names.select(F.col("entry").alias("name"), "entry")
+    return canonical.canonical_rows(session.table(spark, sf_dir, CLEANED), "row_idx", "Country", names, others, codes)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_mapped(spark, sf_dir).select("row_idx", F.col("entry").alias("iso3"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.occurrences(table(spark, sf_dir, GATE))
 
@@ -80,6 +92,17 @@ def p5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.line_counts(table(spark, sf_dir, GATE))
 
 
+def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every chunk over the limit of its profile."""
+    chunks = table(spark, sf_dir, "lawsec_v1_18i_chunked").select("chunk_id", "Text_cleaned_ngram", "split_profile")
+    limited = chunks.join(session.table(spark, sf_dir, "chunk_profiles"), "split_profile")
+    return split.split_oversized(limited, "chunk_id", "Text_cleaned_ngram", "max_chars", "overlap_chars")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_pieces(spark, sf_dir).where("piece_no = 0").select("chunk_id")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     unusual = look.unusual_rows(table(spark, sf_dir, CLEANED), "row_idx", "Country").select("row_idx")
     return unusual.join(_garbled_countries(spark, sf_dir).select("row_idx"), "row_idx", "left_anti")
@@ -130,7 +153,7 @@ def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p3_repaired, p5_found, p5_lines, p5_kept, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
+    return {f.__name__: f for f in (p1_found, p1_figures, p2_found, p2_restored, p3_found, p3_noise, p3_repaired, p4_found, p4_mapped, p5_found, p5_lines, p5_kept, p6_found, p6_pieces, p7_found, p7_forms, p8_packed, p8_room, p9_mixed, p9_shares, p10_found, p10_residue, p10_kept)}
 
 
 FORM = r"regexp_replace(lower(regexp_replace(regexp_replace({x}, '^[\s\v\x1c-\x1f\x85\p{{Z}}]+|[\s\v\x1c-\x1f\x85\p{{Z}}]+$', '', 'g'), '[\s\v\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')), '\p{{Nd}}+', '#', 'g')"
@@ -149,4 +172,4 @@ SELECT row_idx, CAST(line_no AS BIGINT) AS line_no FROM long_forms SEMI JOIN exc
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_found": P5}
+    return {"p5_found": P5, "p6_found": "SELECT chunk_id FROM lawsec_v1_18i_chunked JOIN chunk_profiles USING (split_profile) WHERE length(Text_cleaned_ngram) > max_chars"}

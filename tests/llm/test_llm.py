@@ -5,8 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessaloom.functions import charsets
-from tessaloom.llm import encoding, look, mixing, packing, prose, queries, residue, rules, running, scans, site_lines, tokens
+from tessaloom.llm import canonical, charsets, encoding, look, lookalike, mixing, packing, prose, queries, residue, rules, running, scans, site_lines, split, tokens
 
 PROSE = "The committee has taken note of the report on the harbour and will return to it in the next session. We thank the members for their work."
 
@@ -174,6 +173,23 @@ def test_looks(spark):
         look.in_one_form(df.withColumn("skeleton", F.lit(1)), "Country")
 
 
+def test_looks_of_further_scripts(spark):
+    values = ["Aldermark", "ᎪldermaRk", "ꓮldermark", "AldermarⲢ", "COPA", "ꓚꓳꓑꓮ", "ᏟOPA", "ⲤⲞⲢⲀ", "Corvia", "C0rvia", "Corv1a", "A4", "Işıkeli", "Işikeli", "No10"]
+    df = gate(spark, values, "row_idx bigint, Country string")
+    # Corv1a reads as Corvla, which nobody is called; words wholly in another script follow a Latin fellow
+    assert ids(look.unusual_rows(df, "row_idx", "Country")) == [1, 2, 3, 5, 6, 7, 9]
+    forms = {values[r["row_idx"]]: r for r in look.in_one_form(df, "Country").collect()}
+    assert forms["ꓮldermark"]["usual_form"] == "Aldermark" and forms["C0rvia"]["usual_form"] == "Corvia" and forms["ⲤⲞⲢⲀ"]["usual_form"] == "COPA"
+    assert forms["Işıkeli"]["skeleton"] == forms["Işikeli"]["skeleton"] and forms["Işıkeli"]["usual_form"] == "Işıkeli"
+
+
+def test_ambiguous_keys_are_told(spark):
+    make = lambda rows: spark.createDataFrame(rows, "name string, entry string")
+    rows = gate(spark, ["the coast", "corvia", "Corvia"], "row_idx bigint, Country string")
+    got = canonical.canonical_rows(rows, "row_idx", "Country", make([("Corvia", "COV"), ("Élan", "ELA")]), make([("The Coast", "COV"), ("The Coast", "ELA"), ("CORVIA", "ELA")]), make([("COV", "COV")])).collect()
+    assert {r["row_idx"]: (r["entry"], r["how"]) for r in got} == {0: ("NONE", "ambiguous"), 1: ("COV", "exact")}
+
+
 def test_boundaries_are_least_by_brute_force():
     from itertools import combinations
 
@@ -329,3 +345,87 @@ def test_speeches_in_other_languages_stay(spark):
 
 def test_stored_rules_are_rules():
     assert json.dumps(prose.rules()) and all(name in prose.FIGURES for rule in prose.rules() for name, _, _ in rule["if"])
+
+
+def canonical_of(spark, values, extra=False):
+    names = spark.createDataFrame([("North Dravena", "NOT"), ("South Dravena", "SOT"), ("Corvia", "COV"), ("Corvina", "COI"), ("Łodzavia", "ODA"), ("Quorrala", "QUR"), ("Elavaux", "ELV")], "name string, entry string")
+    others = spark.createDataFrame([("Kingdom of Quorrala", "QUR"), ("Келмара", "COV")], "name string, entry string")
+    codes = names.select(F.col("entry").alias("name"), "entry")
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "row_idx bigint, Country string")
+    rows = rows.withColumn("value", F.lit("clash")).withColumn("entry", F.lit(1)) if extra else rows
+    return {values[r["row_idx"]]: r["entry"] for r in canonical.canonical_rows(rows, "row_idx", "Country", names, others, codes).collect()}
+
+
+def test_canonical_values(spark):
+    decorated = {f"Delegation of {n}": e for n, e in (("North Dravena", "NOT"), ("Corvia", "COV"), ("Corvina", "COI"), ("Quorrala", "QUR"))}
+    given = {"corvia": "COV", "CORVINA ": "COI", "Corvna": "COI", "Lodzavia": "ODA", "≈Åodzavia": "ODA", "Łоdzaviа": "ODA", "QUR": "QUR", "Quorala": "QUR", "S. Dravena": "SOT", "кelmapa": "NONE", "Келмара": "COV", "Quorrala (QUR)": "QUR", "�lavaux": "ELV", "University of X": "NONE", "--": "NONE", "x" * 5000: "NONE", "item 12": "NONE", "Kingdom of Quorrala": "QUR", **decorated}
+    assert canonical_of(spark, [*given, None, "", "  ", "Corvia"], extra=True) == given
+    assert canonical_of(spark, ["Corvia", None]) == {}
+
+
+def test_similarity_join_is_as_brute_force(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcde ") for _ in range(rng.randint(1, 9))).strip() or "a"
+    left, right = {word() for _ in range(120)}, {word() for _ in range(80)}
+
+    def tokens(k):
+        seen, out = {}, set()
+        for p in zip(f"^{k}$", f"^{k}$"[1:]):
+            seen[p] = seen.get(p, 0) + 1
+            out.add((p, seen[p]))
+        return out
+
+    got = canonical.similar(spark.createDataFrame([(k,) for k in left], "key string"), spark.createDataFrame([(k,) for k in right], "entry_key string"), 0.4)
+    want = {(a, b) for a in left for b in right if len(tokens(a) & tokens(b)) / len(tokens(a) | tokens(b)) >= 0.4}
+    assert {(r["key"], r["entry_key"]) for r in got.collect()} == want
+
+
+def test_cuts_hold_their_promises():
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice(["word", " ", ". ", "\n\n", ", ", "é", "é", "x" * 30, "\n"]) for _ in range(rng.randint(0, 200)))
+        most = rng.randint(1, 60)
+        overlap = rng.randint(0, 70)
+        pieces = split.cuts(text, most, overlap)
+        o = min(overlap, most - 1)
+        assert all(b - a <= most for a, b in pieces) or len(text) <= most
+        assert all(x[1] - y[0] == o for x, y in zip(pieces, pieces[1:])) and pieces[0][0] == 0 and pieces[-1][1] == len(text)
+        assert all(y[1] > x[1] for x, y in zip(pieces, pieces[1:]))
+    assert split.cuts("One two. Three four five", 14, 0) == [(0, 9), (9, 20), (20, 24)]  # the sentence's end, then the last blank
+    assert split.cuts("aaaa bbbb cccc", 10, 0) == [(0, 10), (10, 14)]  # of equal ones the right
+
+
+def test_range_maximum_is_as_brute_force():
+    import numpy as np
+
+    values = np.array([random.Random(4).randint(0, 4) for _ in range(120)])
+    index = split.RangeMaximum(values, 40)
+    for a in range(120):
+        for b in range(a, min(120, a + 40)):
+            assert index.best(a, b) == max(range(a, b + 1), key=lambda i: (values[i], i))
+
+
+def test_split_edge_cases(spark):
+    rows = spark.createDataFrame([("a", "x" * 25, 10, 3), ("b", None, 10, 3), ("c", "short", 10, 3), ("d", "y" * 5, None, 3), ("e", "z" * 5, 0, 3), ("f", "w" * 25, 10, None), ("a", "x" * 25, 10, 3)], "k string, t string, m int, o int").withColumn("piece", F.lit("clash"))
+    got = split.split_oversized(rows, "k", "t", "m", "o").collect()
+    assert {r["k"] for r in got} == {"a", "f"} and sum(r["k"] == "a" for r in got) == 8
+    assert "".join(r["piece"] for r in sorted((r for r in got if r["k"] == "f"), key=lambda r: r["piece_no"])) == "w" * 25
+    assert split.split_oversized(rows.limit(0), "k", "t", "m", "o").count() == 0
+
+
+def test_usual_forms():
+    usual = lookalike.usual_form
+    assert usual("Аӏԁеrmаrk") == "Aldermark" and usual("Ｑｕｏ​ｒ") == "Quor" and usual("South Dravena") == "South Dravena"
+    assert usual("Čestrova") == "Čestrova" and usual("") == "" and usual("Łodzavia") == "Łodzavia"
+    assert usual("Зеленова") == "Зеленова" and usual("Зеленoва") == "Зеленова"  # a Latin o inside a Cyrillic word
+    assert usual("नूराबंद") == "नूराबंद" and usual("Işıkeli") == "Işıkeli"
+    assert lookalike.skeleton("Аӏԁеrmаrk") == lookalike.skeleton("Aldermark") and lookalike.latin_reading("СОРА") == "COPA"
+
+
+def test_chains_round_trip():
+    for word in ("été", "Жамбелія", "l’accord", "Łodzavia", "«la»"):
+        for chain, form in charsets.garbled(word):
+            assert form != word
+            if chain in ("utf8>cp1252", "utf8>latin-1", "utf8>mac_roman", "utf8>cp437", "utf8>cp850", "utf8>cp1252>utf8>cp1252"):
+                assert charsets.restored(form) == word, (chain, form)
+    assert charsets.garbled("plain") == [] and charsets.restored("plain") is None and charsets.restored("d’élargir") is None
