@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessaloom import oracle
 from tessaloom.functions import repair, text
 from tessaloom.functions.rules import DEFAULT_RULES
-from tessaloom.operators import canonical, chunk, clean, frequency, membership, phrases, split
+from tessaloom.operators import chunk, clean, frequency, membership, phrases
 from tessaloom.plans import pipeline
 from tessaloom.session import spread, table
 from tessaloom.sources import files
@@ -270,33 +270,6 @@ def pipeline_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.run(_gate(spark, sf_dir), "Text", _dimension(spark, sf_dir), "Flag_Valid")
 
 
-@query
-def p4_mapped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every free-typed Country with the entry meant, how it was found and how similar it is."""
-    names = table(spark, sf_dir, "country_reference").select("name", F.col("iso3").alias("entry"))
-    others = table(spark, sf_dir, "country_aliases").select(F.col("alias").alias("name"), F.col("iso3").alias("entry"))
-    codes = names.select(F.col("entry").alias("name"), "entry")
-    return canonical.canonical_rows(table(spark, sf_dir, CLEANED), "row_idx", "Country", names, others, codes)
-
-
-@query
-def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p4_mapped(spark, sf_dir).select("row_idx", F.col("entry").alias("iso3"))
-
-
-@query
-def p6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces of every chunk over the limit of its profile."""
-    chunks = spread(table(spark, sf_dir, "lawsec_v1_18i_chunked").select("chunk_id", "Text_cleaned_ngram", "split_profile"))
-    limited = chunks.join(table(spark, sf_dir, "chunk_profiles"), "split_profile")
-    return split.split_oversized(limited, "chunk_id", "Text_cleaned_ngram", "max_chars", "overlap_chars")
-
-
-@query
-def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p6_pieces(spark, sf_dir).where("piece_no = 0").select("chunk_id")
-
-
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 

@@ -131,7 +131,6 @@ def oracle_sql() -> dict[str, str]:
         "whitespace_norm": f"SELECT doc_id, {collapse('text')} AS tidy FROM ({INJECTED})",
         "paragraph_filter": f"SELECT doc_id, {paragraphs('text', 150)} AS kept FROM ({INJECTED})",
         "bloc_map": "WITH m AS (UNPIVOT (SELECT row_idx, Country, BLOC_HarbourCompact AS HarbourCompact, BLOC_SouthernIsles AS SouthernIsles, BLOC_LandlockedGroup AS LandlockedGroup, BLOC_RiverPact AS RiverPact FROM gate_mwe) ON HarbourCompact, SouthernIsles, LandlockedGroup, RiverPact INTO NAME org VALUE v) SELECT row_idx, Country AS country, string_agg(org, ',' ORDER BY org) AS organizations FROM m WHERE v <> 0 AND NOT isnan(v) GROUP BY row_idx, Country",
-        "p6_found": "SELECT chunk_id FROM lawsec_v1_18i_chunked JOIN chunk_profiles USING (split_profile) WHERE length(Text_cleaned_ngram) > max_chars",
     }
     x, counts, kept = "text", [], "text"
     for category, listed in PHRASES.items():
