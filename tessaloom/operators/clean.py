@@ -90,9 +90,10 @@ def without_matches(c: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     if not rules:
         return start
 
+    # most rules match nothing: those read the text, and compile the pattern, once
     def step(a: Column, p: Column) -> Column:
-        n = F.regexp_count(a["x"], p)
-        return F.struct(F.when(F.rlike(a["x"], p), F.regexp_replace(a["x"], p, F.lit(""))).otherwise(a["x"]).alias("x"), F.concat(a["counts"], F.array(n)).alias("counts"))
+        done = F.struct(F.regexp_replace(a["x"], p, F.lit("")).alias("x"), F.concat(a["counts"], F.array(F.regexp_count(a["x"], p))).alias("counts"))
+        return F.when(F.rlike(a["x"], p), done).otherwise(F.struct(a["x"].alias("x"), F.concat(a["counts"], F.array(F.lit(0))).alias("counts")))
 
     return F.aggregate(F.array(*(F.lit(java(p)) for _, p in rules)), start, step)
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 
 from tessaloom.operators import chunk, clean, frequency, phrases
 
+
 def mined_phrases(df: DataFrame, text: str = "Text", first: int = 4, last: int = 10, top: int = 500, least: int = 15) -> dict[str, list[str]]:
     """category -> phrases, longest first, from the most frequent n-grams; at most `top` for each n go to the driver as parameters of the cleaning expression, none is cut."""
-    ranked = frequency.report(frequency.ngram_counts(df, first, last, text), top).selectExpr("CAST(split(type, '-')[0] AS INT) AS n", "phrase", "frequency")
+    ranked = frequency.report(frequency.frequent_ngrams(df, first, last, least, text), top).selectExpr("CAST(split(type, '-')[0] AS INT) AS n", "phrase", "frequency")
     found = phrases.extract(ranked, least).where("category IS NOT NULL").select("category", "phrase").distinct().collect()
     out: dict[str, list[str]] = {}
     for row in sorted(found, key=lambda r: (-len(r["phrase"]), r["phrase"])):

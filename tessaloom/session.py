@@ -28,12 +28,15 @@ def durable(df: DataFrame) -> DataFrame:
     """Compute df once and keep it in the shared checkpoint folder.
 
     The folder is spark.checkpoint.dir where the session names one. Only where it is
-    unset, as in tests on one machine, a temporary folder is taken.
+    unset and all runs in one process, as in tests, a temporary folder is taken;
+    on a cluster that raises.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tessaloom-"))
     return df.checkpoint(eager=True)
 
