@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 from tessaloom.functions import repair
 from tessaloom.functions.rules import DEFAULT_RULES
-from tessaloom.operators import phrases
+from tessaloom.operators import chunk, phrases
 
 #: Phrases of the removal query, in the order in which they are removed.
 PHRASES = {"formatting": ["- - - -"], "administrative": ["the budget outline", "agreed with"], "procedural": ["since the last session", "this Committee"], "entity_names": ["department of"]}
@@ -100,16 +101,91 @@ def stages(category: str | None, table: str = f"({INJECTED})", key: str = "doc_i
     return "WITH " + ",\n".join(ctes), len(rules)
 
 
-def base(select: str, table: str = f"({INJECTED})", key: str = "doc_id", column: str = "text") -> str:
+def shown(key: str = "row_idx") -> str:
+    """CTE shown(key, shown): of each category the matches of the last rule that matched, added up."""
+    at, terms = 0, []
+    for category, on, patterns in DEFAULT_RULES:
+        if on:
+            own = [f"nullif(s{at + i}.m - s{at + i - 1}.m, 0)" for i in range(1, len(patterns) + 1)]
+            at += len(patterns)
+            terms.append(f"coalesce({', '.join(reversed(own))}, 0)")
+    return f"shown AS (SELECT s0.{key}, {' + '.join(terms)} AS shown FROM s0 {' '.join(f'JOIN s{i} USING ({key})' for i in range(1, at + 1))})"
+
+
+def base(select: str, table: str = f"({INJECTED})", key: str = "doc_id", column: str = "text", more: str = "") -> str:
     """`select` over d(key, before, after, kept, reduction) of cleaning by rules only."""
     with_, n = stages(None, f"(SELECT {key}, coalesce({column}, '') AS {column} FROM {table})", key, column)
     return f"""{with_},
 w AS (SELECT {key}, {collapse('t')} AS t FROM s{n}),
 c AS (SELECT {key}, {paragraphs('t', 50)} AS t FROM w),
-d AS (SELECT c.{key}, length(s0.t) AS before, length(c.t) AS after, {strip('c.t')} AS kept, round((1 - length(c.t)::DOUBLE / greatest(length(s0.t), 1)) * 100, 2) AS reduction FROM c JOIN s0 USING ({key}))
+d AS (SELECT c.{key}, length(s0.t) AS before, length(c.t) AS after, {strip('c.t')} AS kept, round((1 - length(c.t)::DOUBLE / greatest(length(s0.t), 1)) * 100, 2) AS reduction FROM c JOIN s0 USING ({key})){"," + chr(10) + more if more else ""}
+{select}"""
+
+
+MARK = "chr(1)"
+
+
+def packed(parts: str, most: int) -> str:
+    """Chunks of a list of parts: a fold whose state is a struct of chunks done and the one being filled."""
+    states = f"list_transform({parts}, lambda s: {{'c': []::VARCHAR[], 'b': s}})"
+    step = f"CASE WHEN a.b <> '' AND length(a.b) + length(e.b) + 1 > {most} THEN {{'c': list_append(a.c, {strip('a.b')}), 'b': e.b}} WHEN a.b <> '' THEN {{'c': a.c, 'b': {strip("a.b || ' ' || e.b")}}} ELSE {{'c': a.c, 'b': e.b}} END"
+    return f"list_transform([list_reduce({states}, lambda a, e: {step})], lambda r: CASE WHEN {strip('r.b')} <> '' THEN list_append(r.c, {strip('r.b')}) ELSE r.c END)[1]"
+
+
+def cut_behind(x: str, signs: str) -> str:
+    return f"string_split(regexp_replace({x}, '([{signs}]){WHITE}+', '\\1' || {MARK}, 'g'), {MARK})"
+
+
+def sentence_chunks(x: str, most: int = chunk.MOST, least: int = chunk.LEAST) -> str:
+    clauses = packed(cut_behind("p", ",;"), most)
+    long = f"flatten(list_transform({packed(cut_behind(x, '.!?'), most)}, lambda p: CASE WHEN length(p) <= {most} THEN [p] ELSE {clauses} END))"
+    return f"list_filter(CASE WHEN len({cut_behind(x, '.!?')}) <= 1 THEN [{x}] ELSE {long} END, lambda p: length(p) >= {least})"
+
+
+def chunks(table: str, keys: str, column: str) -> str:
+    """(keys, chunk_index, chunk_total, chunk_text, split_method) of a table's texts."""
+    most, least = chunk.MOST, chunk.LEAST
+    return f"""(
+WITH t AS (SELECT {keys}, {strip(f"coalesce({column}, '')")} AS t FROM {table}),
+p AS (SELECT *, CASE WHEN length(t) > {most} AND contains(t, chr(10) || chr(10)) THEN list_filter(list_transform(string_split(t, chr(10) || chr(10)), lambda x: {strip('x')}), lambda x: length(x) >= {least}) ELSE []::VARCHAR[] END AS ps FROM t),
+m AS (SELECT *, CASE WHEN len(ps) > 1 THEN flatten(list_transform(ps, lambda x: CASE WHEN length(x) > {most} THEN {sentence_chunks('x')} ELSE [x] END)) END AS pc, CASE WHEN length(t) > {most} AND len(ps) <= 1 THEN {sentence_chunks('t')} END AS sc FROM p),
+c AS (SELECT *, CASE WHEN t = '' THEN []::VARCHAR[] WHEN length(t) <= {most} THEN [t] WHEN len(pc) > 0 THEN pc WHEN len(sc) > 1 THEN sc ELSE [t] END AS cs, CASE WHEN length(t) <= {most} THEN 'no_split' WHEN len(pc) > 0 THEN 'paragraph' WHEN len(sc) > 1 THEN 'sentence' ELSE 'no_split' END AS split_method FROM m)
+SELECT {keys}, unnest(cs) AS chunk_text, CAST(generate_subscripts(cs, 1) - 1 AS INTEGER) AS chunk_index, CAST(len(cs) AS INTEGER) AS chunk_total, split_method FROM c)"""
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Characters whose compatible decomposition is one letter of ASCII besides marks, and those letters."""
+    pairs = [(chr(c), plain) for c in range(0x80, 0x20000) if len(plain := unicodedata.normalize("NFKD", chr(c)).encode("ascii", "ignore").decode()) == 1]
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
+def country_key(x: str) -> str:
+    return f"replace(lower({strip(x)}), chr(65533), '')"
+
+
+def countries(select: str, rest: str = "") -> str:
+    """`select` over d(row_idx, Country, country_iso3, groups...): names by key and else, without groups, by key in ASCII."""
+    groups = ", ".join(chunk.GROUPS)
+    plain = "regexp_replace(translate(k, {}, {}), '[^\\x00-\\x7f]', '', 'g')".format(*map(q, _plain_letters()))
+    return f"""
+WITH names AS (SELECT {country_key('name')} AS key, iso3, {groups} FROM country_reference),
+dim AS (SELECT * FROM names UNION ALL SELECT a.key, a.iso3, {groups} FROM (SELECT {country_key('alias')} AS key, min(iso3) AS iso3 FROM country_aliases GROUP BY 1) a JOIN country_reference USING (iso3) WHERE a.key NOT IN (SELECT key FROM names)),
+keyed AS (SELECT *, {country_key('Country')} AS k FROM lawsec_v1_18i_cluster_cleaned),
+looked AS (SELECT k, {strip(plain)} AS plain FROM (SELECT DISTINCT k FROM keyed WHERE k <> '')),
+found AS (SELECT k, coalesce(d1.iso3, d2.iso3) AS country_iso3, {', '.join('d1.' + g for g in chunk.GROUPS)} FROM looked LEFT JOIN dim d1 ON d1.key = looked.k LEFT JOIN dim d2 ON d2.key = looked.plain),
+d AS (SELECT keyed.* EXCLUDE (k), country_iso3, {', '.join(f'coalesce({g}, false) AS {g}' for g in chunk.GROUPS)} FROM keyed LEFT JOIN found ON keyed.k = found.k){rest}
 {select}"""
 
 
+def chunk_table(select: str) -> str:
+    """`select` over f, the chunk table."""
+    meta = ", ".join(chunk.METADATA)
+    flagged = f"(SELECT * FROM d WHERE Flag_Cleaned = 'cleaned' AND Text_cleaned_ngram IS NOT NULL AND length({strip('Text_cleaned_ngram')}) > 0)"
+    rest = f""",
+f AS (SELECT format('{{}}_r{{}}_chunk{{:03d}}', doc_id, row_idx, chunk_index) AS chunk_id, doc_id, row_idx, chunk_index, chunk_total, chunk_text, split_method, {meta}, country_iso3, {', '.join(chunk.GROUPS)} FROM {chunks('flagged', '*', 'Text_cleaned_ngram')})"""
+    return countries(select, f",\nflagged AS {flagged}" + rest)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "word_topk": f"SELECT phrase, count(*) AS frequency FROM (SELECT unnest({words('text')}) AS phrase FROM documents WHERE text IS NOT NULL) GROUP BY phrase ORDER BY frequency DESC, phrase LIMIT 100",
@@ -152,4 +228,22 @@ def oracle_sql() -> dict[str, str]:
         "SELECT row_idx, CASE WHEN Flag_Valid IS NULL OR Flag_Valid <> 1 THEN 'skipped_invalid' WHEN x.Text_cleaned_ngram IS NULL THEN 'skipped_empty' ELSE 'cleaned' END AS flag_cleaned, CASE WHEN Flag_Valid = 1 AND x.Text_cleaned_ngram IS NOT NULL THEN kept ELSE coalesce(x.Text_cleaned_ngram, '') END AS cleaned FROM d JOIN lawsec_v1_18i_cluster_cleaned x USING (row_idx)",
         "lawsec_v1_18i_cluster_cleaned", "row_idx", "Text_cleaned_ngram",
     )
+    sql |= {
+        "chunk_pieces": f"SELECT doc_id, CAST(chunk_index AS BIGINT) AS chunk_index, chunk_text, split_method FROM {chunks('documents', 'doc_id', 'text')}",
+        "country_resolve": countries(f"SELECT row_idx, country_iso3, {', '.join(chunk.GROUPS)} FROM d"),
+        "chunk_full": chunk_table("SELECT * FROM f"),
+        "chunk_method_dist": chunk_table("SELECT split_method, count(*) AS chunks, round(100 * count(*) / sum(count(*)) OVER (), 2) AS percent FROM f GROUP BY split_method"),
+        "chunk_coverage": chunk_table("SELECT count(country_iso3) AS resolved, count(*) AS chunks, round(100 * count(country_iso3) / count(*), 2) AS percent FROM f"),
+        "group_counts": chunk_table(" UNION ALL ".join(f"SELECT '{g}' AS country_group, CAST(count_if({g}) AS BIGINT) AS chunks, round(100 * count_if({g}) / count(*), 2) AS percent FROM f" for g in chunk.GROUPS)),
+        "unmapped_topk": chunk_table(f"SELECT {strip('Country')} AS name, count(*) AS documents FROM f WHERE chunk_index = 0 AND country_iso3 IS NULL AND {strip('Country')} <> '' GROUP BY 1 ORDER BY documents DESC, name LIMIT 10"),
+        "chunks_per_document": chunk_table("SELECT documents, documents - with_chunks AS skipped, chunks, round(chunks / greatest(documents, 1), 2) AS chunks_per_document FROM (SELECT count(*) AS documents FROM lawsec_v1_18i_cluster_cleaned WHERE Flag_Cleaned = 'cleaned' AND Text_cleaned_ngram IS NOT NULL), (SELECT count(*) AS chunks, CAST(count_if(chunk_index = 0) AS BIGINT) AS with_chunks FROM f)"),
+        "phrase_dictionary": f"SELECT category, CAST(to_json(list({{'phrase': phrase, 'frequency': frequency, 'ngram_size': ngram_size}} ORDER BY frequency DESC, phrase)) AS VARCHAR) AS entries FROM ({EXTRACTED}20) WHERE category IS NOT NULL GROUP BY category",
+        "schema_listing": "SELECT CAST(row_number() OVER () AS INTEGER) AS ordinal, column_name AS name, CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS type FROM (DESCRIBE gate_mwe)",
+        "ocr_symbols": r"SELECT row_idx, regexp_replace(regexp_replace(Text, '([\p{L}\p{M}\p{Nd}\p{Pc}])~([\p{L}\p{M}\p{Nd}\p{Pc}])', '\1o\2', 'g'), '([\p{L}\p{M}\p{Nd}\p{Pc}])[*]([\p{L}\p{M}\p{Nd}\p{Pc}])', '\1r\2', 'g') AS mended FROM gate_mwe".replace("\\\\", "\\"),
+        "corpus_stats": base(
+            "SELECT count(*) AS total_rows, CAST(count_if(NOT ok) AS BIGINT) AS skipped_invalid, CAST(sum(CASE WHEN done THEN before ELSE 0 END) AS BIGINT) AS total_original_chars, CAST(sum(CASE WHEN done THEN after ELSE 0 END) AS BIGINT) AS total_cleaned_chars, CAST(0 AS BIGINT) AS fixed_rows, CAST(0 AS BIGINT) AS phrases_removed, CAST(sum(CASE WHEN done THEN shown ELSE 0 END) AS BIGINT) AS rule_matches_removed, round(avg(reduction) FILTER (done), 2) AS avg_reduction_percent"
+            " FROM (SELECT d.*, Flag_Valid IS NOT NULL AND Flag_Valid = 1 AS ok, ok AND x.Text_cleaned_ngram IS NOT NULL AS done, shown FROM d JOIN lawsec_v1_18i_cluster_cleaned x USING (row_idx) JOIN shown USING (row_idx))",
+            "lawsec_v1_18i_cluster_cleaned", "row_idx", "Text_cleaned_ngram", shown(),
+        ),
+    }
     return sql
