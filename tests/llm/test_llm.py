@@ -17,7 +17,36 @@ def test_same_as_sql(name, same_as_sql):
 
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_runs(name, spark, data):
-    assert queries.queries()[name](spark, data).count() >= 0
+    rows = queries.queries()[name](spark, data)
+    columns = {"p2_found": "table_name string, row_idx bigint", "p4_found": "row_idx bigint, iso3 string", "p10_found": "doc_id bigint"}.get(name, "row_idx bigint")
+    if name.endswith("_found"):
+        assert ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields) == columns
+    found = rows.toPandas()
+    assert len(found) or name == "p5_lines"
+    assert not name.endswith("_found") or not found.duplicated().any()
+
+
+def test_queries_hold_what_they_promise(spark, data):
+    """Pieces put together give the text, containers hold no more than they may and every document once, shares are within a document."""
+    run = lambda name: queries.queries()[name](spark, data).toPandas()
+    read = lambda name: spark.read.parquet(f"{data}/{name}.parquet").toPandas()
+    chunks = read("lawsec_v1_18i_chunked").merge(read("chunk_profiles"), on="split_profile").set_index("chunk_id")
+    for key, pieces in run("p6_pieces").sort_values("piece_no").groupby("chunk_id"):
+        text = chunks.loc[key, "Text_cleaned_ngram"]
+        assert all(text[a : a + len(p)] == p and len(p) <= chunks.loc[key, "max_chars"] for a, p in zip(pieces["start"], pieces["piece"]))
+        ends = [a + len(p) for a, p in zip(pieces["start"], pieces["piece"])]
+        assert pieces["start"].iloc[0] == 0 and ends[-1] == len(text) and all(e - a == chunks.loc[key, "overlap_chars"] for e, a in zip(ends, list(pieces["start"])[1:]))
+    packed, documents = run("p8_packed"), read("documents")
+    for row in read("pack_containers").itertuples():
+        own = packed[packed["container"] == row.container]
+        assert own.groupby("container_no")["tokens"].sum().max() <= row.capacity_tokens and set(own["doc_id"]) == set(documents["doc_id"])
+        assert not own.duplicated(["doc_id", "piece_no"]).any() and (own.groupby("doc_id")["tokens"].sum()[own.groupby("doc_id").size() > 1] > row.capacity_tokens).all()
+    sizes = packed[packed["container"] == packed["container"].iloc[0]].groupby("doc_id")["tokens"].sum()
+    targets = read("mix_targets").set_index(["mix_name", "source"])
+    for key, own in run("p9_mixed").groupby(["mix_name", "source"]):
+        assert (own.groupby("doc_id").size() <= targets.loc[key, "max_repeats"]).all() and (own["tokens"] == own["doc_id"].map(sizes)).all()
+    kept, found = run("p10_kept"), run("p10_found")
+    assert sorted([*kept["doc_id"], *found["doc_id"]]) == sorted(documents["doc_id"])
 
 
 def gate(spark, texts, schema="row_idx bigint, Text string"):
