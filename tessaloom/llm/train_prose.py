@@ -44,7 +44,7 @@ def induced(x: np.ndarray, y: np.ndarray) -> list[list[rules.Condition]]:
 
 def train(table: DataFrame) -> list[dict]:
     """Rules from at most rules.MOST_ROWS labelled rows."""
-    rows = prose.figures(table.where("trim(Text) <> ''").where(F.col("row_idx").between(1, FIRST) | F.col("row_idx").isin(*NOT_PROSE, *ALSO_PROSE)).orderBy("row_idx").limit(rules.MOST_ROWS)).select("row_idx", *prose.FIGURES).toPandas()
+    rows = prose.figures(table.where(F.col("Text").rlike(r"(?U)[^\s\x1c-\x1f]")).where(F.col("row_idx").between(1, FIRST) | F.col("row_idx").isin(*NOT_PROSE, *ALSO_PROSE)).orderBy("row_idx").limit(rules.MOST_ROWS)).select("row_idx", *prose.FIGURES).toPandas()
     x, y = rows[list(prose.FIGURES)].to_numpy(float), rows["row_idx"].isin(NOT_PROSE).to_numpy()
     return [{"if": [[prose.FIGURES[f], sign, round(threshold, 4)] for f, sign, threshold in rule], "prose": False} for rule in induced(x, y)]
 
