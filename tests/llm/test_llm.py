@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessaloom.llm import canonical, charsets, encoding, look, lookalike, mixing, packing, prose, queries, residue, rules, running, scans, site_lines, split, tokens
+from tessaloom.llm import canonical, charsets, copies, encoding, look, lookalike, mixing, packing, prose, queries, residue, rules, running, scans, site_lines, split, tokens
 
 PROSE = "The committee has taken note of the report on the harbour and will return to it in the next session. We thank the members for their work."
 
@@ -190,6 +190,51 @@ def test_republished_articles_are_no_site_lines(spark):
     assert lines["A", notice.lower()] == (4, 4, 4) and lines["B", notice.lower()] == (4, None, None) and len(lines) == 6
 
 
+def test_copies_edited_in_a_longest_line_are_no_site_lines(spark):
+    words = ("history", "trade", "winter", "ships")
+    article = "\n".join(f"Paragraph {w} of the article speaks at length about the {w} of the harbour." for w in words)
+    notice = "All rights of this site are reserved."
+    rows = [(i, i, "A", f"200{i}-01-01", article.replace(f"{w} of the harbour", f"{w} of our harbour")) for i, w in enumerate(words)]
+    # tables of other numbers are other documents, a corrected delivery is the same one
+    rows += [(i, i, "B", f"199{i}-01-01", "\n".join(f"{i}{n}1 {i}{n}2 {i}{n}3 {i}{n}4 {i}{n}5" for n in range(5)) + f"\n{notice}") for i in range(4, 7)]
+    rows += [(i, 10 + i // 9, "C", f"199{i}-01-01", f"A text about subject {chr(97 + i) * 9}.\n{notice}") for i in range(7, 10)]
+    df = spark.createDataFrame(rows, "row_idx bigint, doc_id bigint, Forum string, Date string, Text string")
+    kept = {r["row_idx"]: r["text_kept"] for r in site_lines.without_excessive_lines(df, date="Date").collect()}
+    assert all(kept[r[0]] == r[4] for r in rows if r[2] != "B") and all(notice not in kept[i] for i in range(4, 7))
+    # p5_found's definition counts documents, whatever they say
+    assert {r["row_idx"] for r in site_lines.occurrences(df).collect()} == set(range(7))
+
+
+def test_copies_are_those_that_share_their_shingles(spark):
+    """Against a comparison of all pairs, over copies with ever more words exchanged, each made from the one before."""
+    rows = [(f"{d}{n}", "S", " ".join("new" + w if i % 40 < n else w for i, w in enumerate(f"{d}{x}" for x in range(160)))) for d in "abc" for n in range(12)] + [("z", "S", " "), ("y", "S", None), ("a9x", "T", "a1 a2 a3")]
+    df = spark.createDataFrame(rows, "document string, source string, text string")
+    got = {r["document"]: r["cluster"] for r in copies.copies(df).collect()}
+    runs = {r["document"]: set(r["s"] or ()) for r in df.where("source = 'S'").select("document", copies.shingles(F.col("text")).alias("s")).collect()}
+    cluster = {d: d for d in runs}
+    for _ in runs:
+        for a, b in ((a, b) for a in runs for b in runs if runs[a] and len(runs[a] & runs[b]) >= copies.LEAST_ALIKE * len(runs[a] | runs[b])):
+            cluster[a] = cluster[b] = min(cluster[a], cluster[b])
+    assert {d: c for d, c in cluster.items() if d in got} == got and {d for d, c in cluster.items() if c != d} <= set(got) and len(got) == 36
+
+
+def test_one_day_in_several_notations_is_one_date(spark):
+    dates = ["2003-07-01", "01/07/2003", "1 July 2003", "2003", "2003-07-01 10:00:00", " ", None, "summer"]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(dates)], "i int, date string")
+    assert [r["d"] for r in df.orderBy("i").select(site_lines.published(F.col("date")).alias("d")).collect()] == [*["2003-07-01"] * 3, "2003-??", "2003-07-01", None, None, "summer"]
+    notice = "All rights of this site are reserved."
+    rows = [(i, i, f, d, f"A text about subject {chr(97 + i) * 9}.\n{notice}") for i, (f, d) in enumerate([*(("A", d) for d in dates[:5]), *(("B", d) for d in ("2003", "2004", "2004-05-01"))])]
+    lines = site_lines.excessive_lines(spark.createDataFrame(rows, "row_idx bigint, doc_id bigint, Forum string, Date string, Text string"), date="Date", clusters=True).collect()
+    assert [(r["source"], r["documents"], r["dates"]) for r in lines] == [("B", 3, 2)]
+
+
+def test_rows_without_document_do_not_count(spark):
+    rows = [(i, d, "A", f"Check against delivery, room {i}\nown words {chr(97 + i) * 9}") for i, d in enumerate((1, 2, None))]
+    schema = "row_idx bigint, doc_id bigint, Forum string, Text string"
+    assert site_lines.occurrences(spark.createDataFrame(rows, schema)).count() == 0  # count(DISTINCT doc_id) is 2
+    assert site_lines.occurrences(spark.createDataFrame([*rows, (3, 3, "A", "Check against delivery, room 3")], schema)).count() == 4
+
+
 def test_looks(spark):
     values = ["Aldermark", "Аldermark", "Ａldermark", "Al​dermark", "South Dravena", "South  Dravena\t", "Келмара", "СОСО", "COCO", "РОР", None, "", " ", "​", "C\u030cestrova"]
     df = gate(spark, values, "row_idx bigint, Country string").withColumn("value", F.lit(1))
